@@ -43,6 +43,12 @@ def running_median(x: np.ndarray) -> np.ndarray:
     return np.partition(_windows(x), HALF, axis=1)[:, HALF]
 
 
+def neighbours_median(x: np.ndarray) -> np.ndarray:
+    """The same without the reading itself. It halves steps, so it only serves to tell the scale."""
+    w = np.partition(np.delete(_windows(x), HALF, axis=1), (HALF - 1, HALF), axis=1)
+    return (w[:, HALF - 1] + w[:, HALF]) / 2
+
+
 def _scale(x: np.ndarray) -> float:
     return 1.4826 * float(np.median(np.abs(x))) if len(x) else 0.0
 
@@ -52,22 +58,28 @@ def _half_differences(x: np.ndarray) -> np.ndarray:
     return (padded[2:] - padded[:-2]) / 2
 
 
-def outside_ellipsoids(u: np.ndarray, active: np.ndarray, floor: float, rounds: int = 8) -> np.ndarray:
-    """Mask of the points outside the ellipsoid of (u, its first and its second differences), found iteratively."""
+def outside_ellipsoids(u: np.ndarray, around: np.ndarray, active: np.ndarray, floor: float, rounds: int = 8) -> np.ndarray:
+    """Mask of the points outside the ellipsoid of (u, its first and its second differences), found iteratively.
+
+    ``around`` is the deviation from the neighbours alone, which tells the scales. They stay as first found: robust
+    from the start, they would only shrink on and on where a source's noise varies.
+    """
     bad = np.zeros(len(u), bool)
     kept = u.copy()
     reach = np.sqrt(2 * np.log(max(len(u), 3)))
+    slope = _half_differences(around)
+    s0, s1, s2 = (reach * max(_scale(x[active]), floor) for x in (around, slope, _half_differences(slope)))
     for _ in range(rounds):
         d1 = _half_differences(kept)
         d2 = _half_differences(d1)
         use = active & ~bad
-        s0, s1, s2 = (reach * max(_scale(x[use]), floor) for x in (kept, d1, d2))
         square = float(np.sum(kept[use] ** 2))
         angle = np.arctan(float(np.sum(kept[use] * d2[use])) / square) if square > 0 else 0.0
         c, s = np.cos(angle), np.sin(angle)
         spread = c**4 - s**4  # the rotated ellipse's axes follow from its extents s0 and s2
-        a2, b2 = ((s0**2 * c**2 - s2**2 * s**2) / spread, (s2**2 * c**2 - s0**2 * s**2) / spread) if abs(spread) > 1e-6 else (s0**2, s2**2)
-        a2, b2 = max(a2, 1e-18), max(b2, 1e-18)
+        a2, b2 = ((s0**2 * c**2 - s2**2 * s**2) / spread, (s2**2 * c**2 - s0**2 * s**2) / spread) if abs(spread) > 1e-6 else (0.0, 0.0)
+        if min(a2, b2) <= 0:  # no ellipse of this tilt has these extents
+            c, s, a2, b2 = 1.0, 0.0, s0**2, s2**2
         new = ((kept / s0) ** 2 + (d1 / s1) ** 2 > 1) | ((d1 / s1) ** 2 + (d2 / s2) ** 2 > 1) | ((kept * c + d2 * s) ** 2 / a2 + (d2 * c - kept * s) ** 2 / b2 > 1)
         new &= ~bad & (np.abs(u) > floor)
         if not new.any():
@@ -122,13 +134,14 @@ def examine(src: int, blk: int, ms: np.ndarray, v: np.ndarray, core: np.ndarray)
     tol = step if step and step <= 0.25 * typical else 0.0
     same = float(np.mean(moves <= tol + 1e-9)) if len(moves) else 1.0
     floor = max(step, 1e-9)
-    bad = outside_ellipsoids(u, active, floor)
+    around = v - neighbours_median(v)
+    bad = outside_ellipsoids(u, around, active, floor)
     good = active & ~bad
-    scale = max(_scale(u[good]), 0.0 if same > 0.9 else step) if good.sum() >= MIN_ACTIVE else None
+    scale = max(_scale(around[good]), 0.0 if same > 0.9 else step) if good.sum() >= MIN_ACTIVE else None
     top = float(np.quantile(np.abs(v[good]), 0.95)) if good.any() else None
     settled = np.where(bad, v - u, v)
     w = _windows(settled)
-    quiet = w.max(axis=1) - w.min(axis=1) <= tol + 1e-9
+    quiet = (w.max(axis=1) - w.min(axis=1) <= tol + 1e-9) & (_windows(bad.astype(float)).sum(axis=1) <= HALF)
     negative = (v < 0) & ~bad
     odd = bad & (np.abs(u) > 3 * (scale or 0.0))
     if top is not None:
@@ -262,7 +275,7 @@ def flag_implausible(
         .select("src", "scale", "top", "step", "n_negative", F.col("n").alias("n_source"), "longest")
     )
     nines = F.regexp_replace(F.abs("value").cast("string"), r"[.0]+$", "").rlike(r"^9{2,}(\.9+)?$")
-    found = seen.filter("kind = 0").join(source_stats, "src").withColumn("size", F.abs("u"))
+    found = seen.filter("kind = 0").select("src", "ms", "value", "u", "quiet").join(source_stats, "src").withColumn("size", F.abs("u"))
     least = F.greatest(F.col("scale"), F.lit(0.0))
     spike = ((F.col("size") >= spike_sigmas * least) & (least > 0)) | (F.col("quiet") & (F.col("size") >= quiet_sigmas * least) & (F.col("size") > F.col("step") * 1.5))
     never_negative = F.col("n_negative") < 0.01 * F.col("n_source")

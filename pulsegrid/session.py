@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT = "spark.checkpoint.dir"
+_OWN: list[str] = []  # the folder that local mode falls back to
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,9 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError(f"set {CHECKPOINT} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="pulsegrid-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set(CHECKPOINT, path)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="pulsegrid-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        path = _OWN[0]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
