@@ -22,9 +22,9 @@ def first_per_key(rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...])
 
 
 def latest_per_key(rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
-    """One whole row per key: the greatest by ``order``; a null counts as least."""
+    """One whole row per key: the greatest by ``order``, then by the other columns; a null counts as least."""
     rest = [c for c in rows.columns if c not in key]
-    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_best"))
+    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("_best"))
     return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
 

@@ -29,15 +29,16 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot_changes(table(spark, folder, "register_rows"))
+    changes = snapshot_changes(table(spark, folder, "register_rows"))
+    return changes.select("stream", "entity", "field", F.unix_millis("timestamp_utc").alias("ts_ms"), "change_kind", "old_text", "new_text")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_changes(spark, folder).select("stream", "entity", "field", F.unix_millis("timestamp_utc").alias("ts_ms"), "change_kind")
+    return p2_changes(spark, folder).drop("old_text", "new_text")
 
 
 def p2_by_delivery(spark: SparkSession, folder: str) -> DataFrame:
-    return changes_by_delivery(p2_changes(spark, folder))
+    return changes_by_delivery(p2_changes(spark, folder), instant="ts_ms")
 
 
 def trend_minute() -> F.Column:
@@ -60,11 +61,11 @@ def p3_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_history(spark: SparkSession, folder: str) -> DataFrame:
-    return version_history(table(spark, folder, "trend_rows"), ("entity", "timestamp_utc"))
+    return version_history(table(spark, folder, "trend_rows").withColumn("ts_ms", F.unix_millis("timestamp_utc")), ("entity", "ts_ms"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p4_history(spark, folder).filter("n_versions >= 2").select("entity", F.unix_millis("timestamp_utc").alias("ts_ms"), "from_ms", "to_ms")
+    return p4_history(spark, folder).filter("n_versions >= 2").select("entity", "ts_ms", "from_ms", "to_ms")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,18 +115,18 @@ grid AS (SELECT entity, unnest(range(min(cell), max(cell) + 1)) AS cell FROM cel
 """
 _P4 = """
 WITH seen AS (
-  SELECT entity, timestamp_utc, value, epoch_us(coalesce(first_seen_update_utc, last_seen_update_utc)) // 1000 AS f, epoch_us(coalesce(last_seen_update_utc, first_seen_update_utc)) // 1000 AS l
+  SELECT entity, epoch_us(timestamp_utc) // 1000 AS ts_ms, value, epoch_us(coalesce(first_seen_update_utc, last_seen_update_utc)) // 1000 AS f, epoch_us(coalesce(last_seen_update_utc, first_seen_update_utc)) // 1000 AS l
   FROM trend_rows WHERE value IS NOT NULL AND coalesce(first_seen_update_utc, last_seen_update_utc) IS NOT NULL),
-steps AS (SELECT *, lag(value) OVER (PARTITION BY entity, timestamp_utc ORDER BY f, l, value) IS DISTINCT FROM value AS fresh FROM seen),
+steps AS (SELECT *, lag(value) OVER (PARTITION BY entity, ts_ms ORDER BY f, l, value) IS DISTINCT FROM value AS fresh FROM seen),
 versions AS (
-  SELECT entity, timestamp_utc, value, f AS from_ms, coalesce(lead(f) OVER w, -1) AS to_ms, row_number() OVER w AS version, count(*) OVER (PARTITION BY entity, timestamp_utc) AS n_versions
-  FROM steps WHERE fresh WINDOW w AS (PARTITION BY entity, timestamp_utc ORDER BY f, l, value))
+  SELECT entity, ts_ms, value, f AS from_ms, coalesce(lead(f) OVER w, -1) AS to_ms, row_number() OVER w AS version, count(*) OVER (PARTITION BY entity, ts_ms) AS n_versions
+  FROM steps WHERE fresh WINDOW w AS (PARTITION BY entity, ts_ms ORDER BY f, l, value))
 """
 SQL = {
     "p2_found": _P2 + "SELECT stream, entity, field, epoch_us(timestamp_utc) // 1000 AS ts_ms, change_kind FROM diff WHERE change_kind IS NOT NULL",
-    "p2_changes": _P2 + "SELECT stream, entity, field, timestamp_utc, change_kind, old_text, new_text FROM diff WHERE change_kind IS NOT NULL",
+    "p2_changes": _P2 + "SELECT stream, entity, field, epoch_us(timestamp_utc) // 1000 AS ts_ms, change_kind, old_text, new_text FROM diff WHERE change_kind IS NOT NULL",
     "p2_by_delivery": _P2
-    + """SELECT stream, timestamp_utc, count(*) FILTER (change_kind = 'added') AS added, count(*) FILTER (change_kind = 'removed') AS removed, count(*) FILTER (change_kind = 'changed') AS changed
+    + """SELECT stream, epoch_us(timestamp_utc) // 1000 AS ts_ms, count(*) FILTER (change_kind = 'added') AS added, count(*) FILTER (change_kind = 'removed') AS removed, count(*) FILTER (change_kind = 'changed') AS changed
   FROM diff WHERE change_kind IS NOT NULL GROUP BY ALL""",
     "p3_found": _P3 + "SELECT g.entity, g.cell AS minute_local FROM grid g WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.entity = g.entity AND c.cell = g.cell AND c.covered)",
     "p3_grid": _P3
@@ -137,8 +138,8 @@ held AS (SELECT entity, cell, avg(value) AS value, count(value) AS n FROM latest
 edges AS (SELECT entity, unnest(range(min(cell), max(cell) + 1)) AS cell FROM held GROUP BY entity)
 SELECT e.entity, make_timestamp(e.cell * 60000000) AS minute_label_local, h.value, coalesce(h.n, 0) AS n_samples, coalesce(h.n, 0) = 0 AS is_missing
 FROM edges e LEFT JOIN held h USING (entity, cell)""",
-    "p4_found": _P4 + "SELECT entity, epoch_us(timestamp_utc) // 1000 AS ts_ms, from_ms, to_ms FROM versions WHERE n_versions >= 2",
-    "p4_history": _P4 + "SELECT entity, timestamp_utc, version::INTEGER AS version, n_versions::INTEGER AS n_versions, value, from_ms, to_ms FROM versions",
+    "p4_found": _P4 + "SELECT entity, ts_ms, from_ms, to_ms FROM versions WHERE n_versions >= 2",
+    "p4_history": _P4 + "SELECT entity, ts_ms, version::INTEGER AS version, n_versions::INTEGER AS n_versions, value, from_ms, to_ms FROM versions",
     "p6_found": """SELECT row_id FROM snapshot_rows WHERE timestamp_utc IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY stream, entity, field, epoch_us(timestamp_utc) // 1000 ORDER BY fetched_at_utc NULLS LAST, chunk NULLS LAST, row_id) > 1""",
 }

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import data_quality
+from . import data_quality, telemetry
 
-MODULES = (data_quality,)
+MODULES = (data_quality, telemetry)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
