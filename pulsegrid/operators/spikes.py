@@ -245,8 +245,8 @@ def flag_implausible(
 
     Of several copies of a reading (same source and millisecond) the first by ``order`` counts, also if its value is
     null. Null and NaN values and readings without instant are never flagged; nulls in the source's columns make a
-    source of their own. A source with fewer than a dozen readings has no scale and gets no spikes. Zeros never count
-    as stuck (switched off, dark). An empty table gives an empty result; further columns are ignored.
+    source of their own. A source with fewer than a dozen readings has no scale: only values of impossible
+    size are found in it. Zeros never count as stuck (switched off, dark). An empty table gives an empty result; further columns are ignored.
     """
     slim = rows.select(key_hash(*source).alias("src"), *[F.col(c).alias(f"s_{i}") for i, c in enumerate(source)], epoch_ms(instant).alias("ms"), F.col(value).cast("double").alias("v"), *[F.col(c).alias(f"o_{i}") for i, c in enumerate(order)])
     slim = slim.filter("ms is not null").withColumn("hour", F.floor(F.col("ms") / hour_ms).cast("long"))
@@ -276,7 +276,7 @@ def flag_implausible(
     )
     nines = F.regexp_replace(F.abs("value").cast("string"), r"[.0]+$", "").rlike(r"^9{2,}(\.9+)?$")
     found = seen.filter("kind = 0").select("src", "ms", "value", "u", "quiet").join(source_stats, "src").withColumn("size", F.abs("u"))
-    least = F.greatest(F.col("scale"), F.lit(0.0))
+    least = F.col("scale")  # null, as then is the comparison, where there are too few readings
     spike = ((F.col("size") >= spike_sigmas * least) & (least > 0)) | (F.col("quiet") & (F.col("size") >= quiet_sigmas * least) & (F.col("size") > F.col("step") * 1.5))
     never_negative = F.col("n_negative") < 0.01 * F.col("n_source")
     impossible = (
