@@ -38,6 +38,18 @@ def json_type(v: str) -> str:
     return f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'null' WHEN {kind} = 'STRING' THEN 'string' WHEN {kind} = 'BOOLEAN' THEN 'boolean' WHEN {kind} LIKE 'OBJECT%' THEN 'object' WHEN {kind} LIKE 'ARRAY%' THEN 'array' ELSE 'number' END"
 
 
+def is_empty_text(v: str) -> str:
+    """SQL: whether a variant is a text of nothing but white space."""
+    return f"coalesce(schema_of_variant({v}) = 'STRING' AND try_cast({v} AS string) RLIKE '^\\\\s*$', false)"
+
+
+def has_number(v: str) -> str:
+    """SQL: whether a variant is a number or a text that states one, as ``number_of`` reads it."""
+    text = f"regexp_replace(try_cast({v} AS string), '(?U)^\\\\s+|\\\\s*%?\\\\s*$', '')"
+    pattern = NUMBER.replace("\\", "\\\\")
+    return f"coalesce(CASE schema_of_variant({v}) WHEN 'STRING' THEN {text} RLIKE '{pattern}' AND {text} RLIKE '[0-9]' WHEN 'BOOLEAN' THEN false WHEN 'VOID' THEN false ELSE try_cast({v} AS double) IS NOT NULL END, false)"
+
+
 def json_value(v: str) -> tuple[Column, Column]:
     """(value, value_text) of a variant column: numbers, texts of numbers, other texts, booleans, JSON of containers."""
     kind = F.expr(json_type(v))

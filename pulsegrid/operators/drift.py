@@ -6,23 +6,28 @@ its digits are masked, so it is a fixed value.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeparse import mask_digits
+from ..functions.values import has_number, is_empty_text
 from ..schema import EXPECTED, HANDLERS, TREND_NAMES, TREND_POINTS
 from .dedupe import first_per_key
 from .explode import entities, parse_bodies, records, top_level
-from .trend import TOLERANCE_S, decode_trends, trend_values
+from .trend import TOLERANCE_S, decode_trends
 
 EVENT = ("endpoint", "path", "kind", "detail", "severity", "chunk")
 
 
-def _event(rows: DataFrame, path: Column, kind: str, detail: Column, severity: str | Column) -> DataFrame:
-    severity = F.lit(severity) if isinstance(severity, str) else severity
-    return rows.select("endpoint", path.alias("path"), F.lit(kind).alias("kind"), F.substring(detail, 1, 500).alias("detail"), severity.alias("severity"), "chunk")
+def _event(cond: Column, path: str | Column, kind: str, detail: Column, severity: str) -> Column:
+    """The event if the condition holds, else null; the bodies are parsed once and their events exploded."""
+    path = F.lit(path) if isinstance(path, str) else path
+    return F.when(cond, F.struct(path.alias("path"), F.lit(kind).alias("kind"), F.substring(detail, 1, 500).alias("detail"), F.lit(severity).alias("severity")))
+
+
+def _explode(rows: DataFrame, events: Column) -> DataFrame:
+    each = rows.select("endpoint", "chunk", F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    return each.select("endpoint", "e.path", "e.kind", "e.detail", "e.severity", "chunk")
 
 
 def _say(*parts: str | Column) -> Column:
@@ -36,61 +41,74 @@ def _names(items: dict[str, tuple[str, ...]]) -> Column:
 def body_drift(bodies: DataFrame) -> DataFrame:
     """Drift of whole bodies: invalid JSON, wrong top level, missing and new keys, an update that can't be read."""
     parsed = parse_bodies(bodies)
-    objects = parsed.filter("kind = 'object'").withColumn("keys", F.expr("map_keys(try_cast(v AS map<string, variant>))"))
+    is_object = F.col("kind") == "object"
     expected = F.coalesce(F.try_element_at(_names({e: tuple(k) for e, k in EXPECTED.items()}), F.col("endpoint")), F.array().cast("array<string>"))
+    missing = F.transform(F.array_except(expected, F.expr("coalesce(map_keys(try_cast(v AS map<string, variant>)), array())")), lambda k: _event(is_object, k, "missing_key", F.concat(F.lit("top-level key '"), k, F.lit("' missing")), "ERROR"))
+    whole = F.array(
+        _event(F.col("kind") == "null", "$", "invalid_json", F.lit("body is no JSON"), "ERROR"),
+        _event(~F.col("kind").isin("null", "object"), "$", "type_change", _say("top level is ", F.col("kind")), "ERROR"),
+        _event(is_object & F.col("update_local").isNull(), "update", "bad_timestamp", _say("update=", F.expr("try_variant_get(v, '$.update', 'string')"), "; falling back to fetch time"), "ERROR"),
+    )
     known = F.array(*map(F.lit, [*HANDLERS, *(f"{e}.{k}" for e in EXPECTED for k in ("update", "trend"))]))
-    missing = objects.select("endpoint", "chunk", F.explode(F.array_except(expected, "keys")).alias("k"))
-    top = top_level(parsed)
-    return reduce(DataFrame.unionByName, (
-        _event(parsed.filter("kind = 'null'"), F.lit("$"), "invalid_json", F.lit("body is no JSON"), "ERROR"),
-        _event(parsed.filter("kind not in ('null', 'object')"), F.lit("$"), "type_change", _say("top level is ", F.col("kind")), "ERROR"),
-        _event(missing, F.col("k"), "missing_key", _say("top-level key '", F.col("k"), "' missing"), "ERROR"),
-        _event(objects.filter("update_local is null"), F.lit("update"), "bad_timestamp", _say("update=", F.expr("try_variant_get(v, '$.update', 'string')"), "; falling back to fetch time"), "ERROR"),
-        _event(top.filter(~F.array_contains(known, F.col("stream")) | ((F.col("stream") == "flow.msg") & (F.col("val_kind") != "object"))), F.col("key"), "new_key", _say("unexpected top-level key '", F.col("key"), "' (", F.col("val_kind"), ")"), "WARN"),
-        _event(top.filter("handler in ('name', 'pie', 'tag', 'position', 'pair', 'fixed') and val_kind <> 'array'"), F.col("stream"), "type_change", _say("expected list, got ", F.col("val_kind")), "ERROR"),
-    ))
+    unknown = ~F.array_contains(known, F.col("stream")) | ((F.col("stream") == "flow.msg") & (F.col("val_kind") != "object"))
+    keys = F.array(
+        _event(unknown, F.col("key"), "new_key", _say("unexpected top-level key '", F.col("key"), "' (", F.col("val_kind"), ")"), "WARN"),
+        _event(F.col("handler").isin("name", "pie", "tag", "position", "pair", "fixed") & (F.col("val_kind") != "array"), F.col("stream"), "type_change", _say("expected list, got ", F.col("val_kind")), "ERROR"),
+    )
+    return _explode(parsed, F.concat(whole, missing)).unionByName(_explode(top_level(parsed), keys))
 
 
 def record_drift(bodies: DataFrame) -> DataFrame:
     """Drift of records: missing and new fields, entities without key, times and labels that can't be read."""
     named = entities(records(top_level(parse_bodies(bodies))))
     expected = F.try_element_at(_names({f"{e}.{k}": f for e, keys in EXPECTED.items() for k, f in keys.items() if f}), F.col("stream"))
-    checked = named.filter("r_kind = 'object' and not is_total").withColumn("expected", expected).filter("expected is not null")
-    lists = checked.groupBy("endpoint", "chunk", "stream", "n_records")
-    # fields per list: in how many records an expected one is missing, and which others there are
-    missing = checked.select("*", F.explode(F.array_except("expected", F.expr("map_keys(m)"))).alias("k")).groupBy("endpoint", "chunk", "stream", "n_records", "k").agg(F.count("*").alias("n"))
-    new = lists.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_except(F.expr("map_keys(m)"), "expected"))))).alias("ks")).select("endpoint", "chunk", "stream", F.explode("ks").alias("k"))
+    keys = F.expr("map_keys(m)")
+    checked = (F.col("r_kind") == "object") & ~F.col("is_total") & expected.isNotNull()
+    plain = lambda kind, severity: (lambda k: F.when(checked, F.struct(F.lit(kind).alias("kind"), k.alias("k"), F.lit(severity).alias("severity"))))
+    one = lambda cond, kind, text, severity: F.when(cond, F.struct(F.lit(kind).alias("kind"), text.alias("k"), F.lit(severity).alias("severity")))
     key = F.when(F.col("handler") == "tag", "tag").otherwise("name")
-    return reduce(DataFrame.unionByName, (
-        _event(missing, F.col("stream"), "missing_field", _say("'", F.col("k"), "' missing in ", F.col("n"), "/", F.col("n_records"), " records"), "WARN"),
-        _event(new, F.col("stream"), "new_field", _say("'", F.col("k"), "' (parsed as a new field)"), "WARN"),
-        _event(named.filter("by_position and handler in ('name', 'pie', 'tag')"), F.col("stream"), "missing_entity_key", _say("record ", F.col("i"), " has no '", key, "'; keyed by position"), "ERROR"),
-        _event(named.filter("handler = 'tag' and map_contains_key(m, 'timestamp') and scada is null"), F.col("stream"), "bad_timestamp", _say("record ", F.col("i"), ": ", F.col("scada_text")), "WARN"),
-        _event(named.filter("bad_label"), F.col("stream"), "label_format", _say("pie label not recognised: ", F.col("label")), "WARN"),
-    ))
+    marks = F.concat(
+        F.coalesce(F.transform(F.array_except(expected, keys), plain("missing_field", "WARN")), F.array()),
+        F.coalesce(F.transform(F.array_except(keys, expected), plain("new_field", "WARN")), F.array()),
+        F.array(
+            one(F.col("by_position") & F.col("handler").isin("name", "pie", "tag"), "missing_entity_key", _say("record ", F.col("i"), " has no '", key, "'; keyed by position"), "ERROR"),
+            one((F.col("handler") == "tag") & F.expr("map_contains_key(m, 'timestamp')") & F.col("scada").isNull(), "bad_timestamp", _say("record ", F.col("i"), ": ", F.col("scada_text")), "WARN"),
+            one(F.col("bad_label"), "label_format", _say("pie label not recognised: ", F.col("label")), "WARN"),
+        ),
+    )
+    each = named.select("endpoint", "chunk", "stream", "n_records", F.explode(F.filter(marks, lambda e: e.isNotNull())).alias("e"))
+    # a field counts once per list: in how many records it is missing, or that it is there
+    counted = each.groupBy("endpoint", "chunk", "stream", "n_records", "e.kind", "e.k", "e.severity").agg(F.count("*").alias("n"))
+    detail = F.when(F.col("kind") == "missing_field", _say("'", F.col("k"), "' missing in ", F.col("n"), "/", F.col("n_records"), " records")).when(F.col("kind") == "new_field", _say("'", F.col("k"), "' (parsed as a new field)")).otherwise(F.col("k"))
+    return counted.select("endpoint", F.col("stream").alias("path"), "kind", F.substring(detail, 1, 500).alias("detail"), "severity", "chunk")
 
 
 def trend_drift(bodies: DataFrame) -> DataFrame:
     """Drift of trends: names, month convention, labels, values, steps and length."""
     decoded = decode_trends(bodies)
-    full = decoded.filter("size(series) > 0").withColumn("n", F.size("series"))
+    values = "flatten(transform(filter(arrays_zip(labels, series), p -> p.labels IS NOT NULL), p -> coalesce(try_variant_get(p.series, '$.value', 'array<variant>'), array())))"
+    counted = decoded.select(
+        "endpoint", "chunk", "names", "base", "gap0", "gap1",
+        F.coalesce(F.size("series"), F.lit(0)).alias("n"), F.expr("try_element_at(labels, -1)").alias("last"), F.filter("labels", lambda x: x.isNotNull()).alias("good"),
+        F.expr(f"aggregate({values}, named_struct('e', 0, 'b', 0), (a, x) -> named_struct('e', a.e + CASE WHEN {is_empty_text('x')} THEN 1 ELSE 0 END, 'b', a.b + CASE WHEN NOT {is_empty_text('x')} AND NOT {has_number('x')} THEN 1 ELSE 0 END))").alias("c"),
+    )
+    counted = counted.withColumn("n", F.greatest("n", F.lit(0))).withColumn("n_bad", F.coalesce("c.b", F.lit(0)) + F.col("n") - F.coalesce(F.size("good"), F.lit(0))).withColumn("n_empty", F.coalesce("c.e", F.lit(0)))
+    step = "size(filter(zip_with(slice(good, 1, size(good) - 1), slice(good, 2, size(good) - 1), (a, b) -> timestampdiff(SECOND, a, b) <> 60), x -> x))"
+    steps = F.expr(f"CASE WHEN size(good) > 1 THEN {step} ELSE 0 END")
     far = F.coalesce(F.col("gap0"), F.lit(10**9)) > TOLERANCE_S
-    one = F.coalesce(F.col("gap1"), F.lit(10**9)) <= TOLERANCE_S
-    valid = full.withColumn("good", F.filter("labels", lambda x: x.isNotNull())).withColumn("bad_points", F.size("labels") - F.size("good"))
-    steps = valid.withColumn("steps", F.expr("size(filter(transform(sequence(1, greatest(size(good) - 1, 1)), i -> coalesce(good[i] - good[i - 1] <> INTERVAL '1' MINUTE, false)), b -> b))"))
-    tally = trend_values(decoded).groupBy("endpoint", "chunk").agg(F.count_if("is_empty").alias("n_empty"), F.count_if(F.col("value").isNull() & ~F.col("is_empty")).alias("n_bad"))
-    counted = steps.join(tally, ["endpoint", "chunk"], "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0)) + F.col("bad_points"))
-    path = F.lit("trend.series")
-    return reduce(DataFrame.unionByName, (
-        _event(decoded.filter("series is null or size(series) = 0"), path, "missing_key", F.lit("trend.series missing or empty"), "ERROR"),
-        _event(full.filter(~F.coalesce(F.col("names") == F.array(*map(F.lit, TREND_NAMES)), F.lit(False))), F.lit("trend.names"), "label_change", _say("names=", F.to_json("names")), "WARN"),
-        _event(full.filter(far & one), F.lit("trend.series.time"), "month_indexing_changed", F.lit("last trend point only matches `update` with ONE-based months; decoding one-based"), "ERROR"),
-        _event(full.filter(far & ~one), F.lit("trend.series.time"), "label_mismatch", _say("last trend point ", F.expr("labels[n - 1]"), " does not match update ", F.col("base"), "; labels used as-is"), "ERROR"),
-        _event(counted.filter("n_bad > 0"), path, "bad_value", _say(F.col("n_bad"), " unparseable points/values of ", F.col("n")), "WARN"),
-        _event(counted.filter("n_empty > 0"), path, "empty_values", _say(F.col("n_empty"), " empty values of ", F.col("n"), " points"), "WARN"),
-        _event(counted.filter("steps > 0"), path, "irregular_step", _say(F.col("steps"), " steps != 1 minute"), "WARN"),
-        _event(full.filter(F.col("n") != TREND_POINTS), path, "length_change", _say(F.col("n"), f" points (was {TREND_POINTS})"), "WARN"),
-    ))
+    near = F.coalesce(F.col("gap1"), F.lit(10**9)) <= TOLERANCE_S
+    some, path = F.col("n") > 0, "trend.series"
+    events = F.array(
+        _event(~some, path, "missing_key", F.lit("trend.series missing or empty"), "ERROR"),
+        _event(some & ~F.coalesce(F.col("names") == F.array(*map(F.lit, TREND_NAMES)), F.lit(False)), "trend.names", "label_change", _say("names=", F.to_json("names")), "WARN"),
+        _event(some & far & near, "trend.series.time", "month_indexing_changed", F.lit("last trend point only matches `update` with ONE-based months; decoding one-based"), "ERROR"),
+        _event(some & far & ~near, "trend.series.time", "label_mismatch", _say("last trend point ", F.col("last"), " does not match update ", F.col("base"), "; labels used as-is"), "ERROR"),
+        _event(some & (F.col("n_bad") > 0), path, "bad_value", _say(F.col("n_bad"), " unparseable points/values of ", F.col("n")), "WARN"),
+        _event(some & (F.col("n_empty") > 0), path, "empty_values", _say(F.col("n_empty"), " empty values of ", F.col("n"), " points"), "WARN"),
+        _event(some & (F.col("steps") > 0), path, "irregular_step", _say(F.col("steps"), " steps != 1 minute"), "WARN"),
+        _event(some & (F.col("n") != TREND_POINTS), path, "length_change", _say(F.col("n"), f" points (was {TREND_POINTS})"), "WARN"),
+    )
+    return _explode(counted.withColumn("steps", steps), events)
 
 
 def drift_events(bodies: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeparse import local_to_utc, point_label, utc_to_local
-from ..functions.values import json_type, json_value
+from ..functions.values import is_empty_text, json_value
 from ..schema import TREND, conform
 from .explode import parse_bodies
 
@@ -27,16 +27,18 @@ def decode_trends(bodies: DataFrame) -> DataFrame:
     )
     gap = lambda zero: F.expr(f"abs(timestampdiff(SECOND, {point_label('try_element_at(series, -1)', zero)}, base))")
     chosen = read.withColumn("gap0", gap("true")).withColumn("gap1", gap("false")).withColumn("zero_based", F.expr(f"NOT (coalesce(gap0, 1e9) > {TOLERANCE_S} AND coalesce(gap1, 1e9) <= {TOLERANCE_S})"))
-    return chosen.withColumn("labels", F.expr(f"transform(series, p -> {point_label('p', 'zero_based')})"))
+    # the choice stays outside the lambda, which would otherwise decide anew for each point
+    labels = lambda zero: f"transform(series, p -> {point_label('p', zero)})"
+    return chosen.withColumn("labels", F.expr(f"CASE WHEN zero_based THEN {labels('true')} ELSE {labels('false')} END"))
 
 
 def trend_values(decoded: DataFrame) -> DataFrame:
-    """One row per point and series with ``label``, ``j``, ``x`` (variant), ``value``, ``is_empty``."""
-    points = decoded.select("endpoint", "chunk", "fetched_at_utc", "update_utc", "base", "names", F.posexplode("series").alias("pos", "p"), "labels").withColumn("label", F.expr("labels[pos]")).drop("labels").filter("label is not null")
-    each = points.select("*", F.posexplode(F.expr("try_variant_get(p, '$.value', 'array<variant>')")).alias("j", "x")).drop("p")
+    """One row per point and series with ``label``, ``j``, ``value``, ``is_empty``."""
+    points = decoded.select("chunk", "fetched_at_utc", "update_utc", "base", "names", F.explode(F.arrays_zip("labels", "series")).alias("p"))
+    points = points.select("chunk", "fetched_at_utc", "update_utc", "base", "names", F.col("p.labels").alias("label"), F.expr("try_variant_get(p.series, '$.value', 'array<variant>')").alias("_values")).filter("label is not null")
+    each = points.select("chunk", "fetched_at_utc", "update_utc", "base", "names", "label", F.posexplode("_values").alias("j", "x"))
     value, _ = json_value("x")
-    empty = (F.expr(json_type("x")) == "string") & F.expr("try_cast(x AS string)").rlike(r"^\s*$")
-    return each.withColumn("value", value).withColumn("is_empty", empty)
+    return each.withColumn("value", value).withColumn("is_empty", F.expr(is_empty_text("x"))).drop("x")
 
 
 def trend_rows(bodies: DataFrame) -> DataFrame:

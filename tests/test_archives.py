@@ -81,7 +81,7 @@ def test_parsed_values(raw):
 
 def test_trend_golden_values(raw):
     out = trend_rows(raw)
-    assert out.schema == TREND and out.count() == 1441 * 3
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in TREND] and out.count() == 1441 * 3
     last = out.orderBy(F.desc("timestamp_utc")).first()
     assert last.timestamp_local == datetime(2026, 9, 29, 5, 23, 53) and last.minute_label_local == datetime(2026, 9, 29, 5, 23)
 
