@@ -1,7 +1,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import make_chunk, rows
+from helpers import make_chunk, rows
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import timeparse as tp

@@ -1,7 +1,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.exactly_once import DeliveryIndex, arrival_batches

@@ -1,7 +1,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
-from conftest import rows
+from helpers import rows
 
 from pulsegrid.operators.history import version_history
 
