@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import prepare
+from ..session import cut, prepare
 from .ordering import with_previous
 
 NUMBER = r"^[+-]?(\d{1,3}(,\d{3})+|\d+)?(\.\d+)?$"
@@ -99,7 +99,7 @@ def shape_changes(bodies: DataFrame, *, close: float = 0.25, share: float = 0.7)
         ).alias("now"),
     )
     day = F.floor(F.unix_micros("fetched_at_utc") / 86_400_000_000).cast("long")
-    pairs = with_previous(shapes, ("endpoint",), day, ("fetched_at_utc", "chunk", "bid"), "now", "old").filter("old is not null")
+    pairs = with_previous(cut(shapes), ("endpoint",), day, ("fetched_at_utc", "chunk", "bid"), "now", "old").filter("old is not null")
 
     both = "array_intersect(now.keys, old.keys)"
     top = "x -> NOT contains(x, '.') OR array_contains({}, substring_index(x, '.', 1))"  # a vanished list takes its sub-objects along
@@ -113,9 +113,12 @@ def shape_changes(bodies: DataFrame, *, close: float = 0.25, share: float = 0.7)
     ).filter("size(new_keys) + size(lost_keys) + size(new_fields) + size(lost_fields) + size(retyped) > 0")
     pairs = pairs.withColumn("swaps", F.expr("filter(flatten(transform(lost_fields, l -> transform(new_fields, n -> struct(l.path AS path, n.path AS other, l.field AS was, n.field AS is)))), s -> s.path = s.other)"))
 
+    pairs = cut(pairs)  # the few bodies whose shape changed
+
     swaps = pairs.select("endpoint", "bid", "old_bid", F.explode("swaps").alias("s")).select("endpoint", "bid", "old_bid", "s.path", "s.was", "s.is")
     wanted = swaps.select(F.explode(F.array("bid", "old_bid")).alias("bid")).distinct()
     values = body_cells(once.join(wanted, "bid", "left_semi")).select("bid", F.explode("cells").alias("c")).select("bid", "c.path", "c.field", "c.entity", "c.text").filter("text is not null").groupBy("bid", "path", "field", "entity").agg(F.min("text").alias("text"))
+    values = cut(values)  # met twice, as the new and as the old side
     after = swaps.join(values.withColumnRenamed("field", "is").withColumnRenamed("text", "b"), ["bid", "path", "is"])
     before = values.withColumnRenamed("bid", "old_bid").withColumnRenamed("field", "was").withColumnRenamed("text", "a")
     a, b = F.expr("try_cast(a AS double)"), F.expr("try_cast(b AS double)")
