@@ -222,9 +222,9 @@ def revision_stats(spark, folder):
 
 @query("""WITH u AS (SELECT DISTINCT source_update_utc AS t FROM snapshot_rows WHERE stream = 'gen.unit' AND source_update_utc IS NOT NULL),
 g AS (SELECT t, (epoch_us(t) // 86400000000)::INT AS d, (epoch_us(t) - lag(epoch_us(t)) OVER (PARTITION BY epoch_us(t) // 86400000000 ORDER BY t)) / 6e7 AS gap FROM u)
-SELECT DATE '1970-01-01' + d AS day_utc, count(*) AS observations, median(gap) AS median_spacing_min, quantile_cont(gap, 0.95) AS p95_spacing_min, max(gap) AS max_spacing_min, 100.0::DOUBLE * count(*) / 288 AS pct_of_expected FROM g GROUP BY d""")
+SELECT strftime(DATE '1970-01-01' + d, '%Y-%m-%d') AS day_utc, count(*) AS observations, median(gap) AS median_spacing_min, quantile_cont(gap, 0.95) AS p95_spacing_min, max(gap) AS max_spacing_min, 100.0::DOUBLE * count(*) / 288 AS pct_of_expected FROM g GROUP BY d""")
 def cadence_by_day(spark, folder):
-    return cov.cadence(table(spark, folder, "snapshot_rows").filter("stream = 'gen.unit'"), "source_update_utc")
+    return cov.cadence(table(spark, folder, "snapshot_rows").filter("stream = 'gen.unit'"), "source_update_utc").withColumn("day_utc", F.col("day_utc").cast("string"))
 
 
 @query("""WITH m AS (SELECT DISTINCT entity, date_trunc('minute', minute_label_local) AS t FROM trend_rows WHERE minute_label_local IS NOT NULL),
