@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 TAIL = 12  # characters of an ending
 FREQUENT = 0.005  # share of the endings of its kind; at most 1 / FREQUENT endings can be as frequent
 CLOSING = r"[\"')\]\u00BB\u2019\u201D\u203A]*$"
@@ -41,7 +43,7 @@ def field_limits(docs: DataFrame, *, source: str = "source", text: str = "text",
     chance plus 3. A limit in one unit is only a broad bump in the other. Blank and null texts have no length here.
     """
     lengths = docs.filter(F.col(text).rlike(r"[^\s]")).select(F.col(source).alias("source"), F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.char_length(text).alias("len")), F.struct(F.lit("bytes").alias("unit"), F.octet_length(text).alias("len")))).alias("l")).select("source", "l.unit", "l.len")
-    histogram = lengths.groupBy("source", "unit", "len").agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("len") / around))
+    histogram = cut(lengths.groupBy("source", "unit", "len").agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("len") / around)))
     binned = histogram.groupBy("source", "unit", "bin").agg(F.sum("n").alias("m"))
     near = binned.select("source", "unit", F.explode(F.array(*[F.struct((F.col("bin") + d).alias("bin"), F.lit(d).alias("side")) for d in (-1, 0, 1)])).alias("t"), "m")
     near = near.groupBy("source", "unit", F.col("t.bin").alias("bin")).agg(F.max(F.when(F.col("t.side") != 0, F.col("m"))).alias("beside"), F.max(F.when(F.col("t.side") == 0, F.col("m"))).alias("own"))
