@@ -134,8 +134,8 @@ def encode_corpus(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     encode = _encode(bc)
     plain = rows.filter(~is_long).mapInArrow(encode, f"doc_id {id_type}, ids array<int>")
 
-    # long texts are few: they go by hash, equal texts once
-    long = rows.filter(is_long).withColumn("h", F.xxhash64("text"))
+    # long texts are few and used several times: set aside, they spare further scans; equal ones are encoded once
+    long = cut(rows.filter(is_long).withColumn("h", F.xxhash64("text")))
     once = long.select("h", "text").dropDuplicates(["h"])
     step = chunk  # chunk k covers [k * step - overlap, (k + 1) * step + overlap)
     cuts = once.select("h", "text", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / step).cast("int"))).alias("k"))
