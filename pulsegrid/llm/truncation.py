@@ -85,7 +85,9 @@ def find_truncated(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "so
     per_source = limits.groupBy("source").agg(F.collect_list(F.struct("unit", "limit", "n", "expected")).alias("limits"))
     endings = printed_endings(docs, text=text)
     bare = F.regexp_replace(text, r"\s+$", "")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"), F.char_length(text).alias("n_chars"), F.octet_length(text).alias("n_bytes"), F.substring(bare, -4 * TAIL, 4 * TAIL).alias("end"))
+    blank = F.col(text).isNull() | ~F.col(text).rlike(r"[^\s\u00A0\u200B\uFEFF]")
+    # only what decides goes into the join, not the text
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), blank.alias("blank"), F.col(text).rlike(r"\s$").alias("spaced"), F.char_length(text).alias("n_chars"), F.octet_length(text).alias("n_bytes"), F.substring(bare, -4 * TAIL, 4 * TAIL).alias("end"))
     r, s = rows.alias("r"), per_source.alias("s")
     met = r.join(s, on=F.col("r.source").eqNullSafe(F.col("s.source")), how="left").select("r.*", F.coalesce("s.limits", F.array().cast("array<struct<unit:string,limit:int,n:bigint,expected:double>>")).alias("limits"))
     at = F.filter("limits", lambda x: ((x["unit"] == "chars") & (x["limit"] == F.col("n_chars"))) | ((x["unit"] == "bytes") & (x["limit"] == F.col("n_bytes"))))
@@ -96,11 +98,9 @@ def find_truncated(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "so
     stopped = F.col("end").rlike(STOP) & ~F.col("end").rlike(ELLIPSIS)
     # a share of cuts falls behind a full stop; it counts where chance alone would leave under a quarter of a text there
     crowded = F.exists(at, lambda x: (x["n"] >= 20) & (x["expected"] < 0.02 * x["n"]))
-    spaced = F.col("text").rlike(r"\s$")
     limit_cut = (F.size(at) > 0) & F.when(stopped | as_printed, crowded & ~as_printed & stopped).otherwise(True) | near
     transfer_cut = F.when(letter | digit, ~as_printed).otherwise(~F.col("end").rlike(MARK) | F.col("end").rlike(BROKEN) | F.col("end").rlike(r"[/(\u00BC-\u00BE]$"))
-    blank = F.col("text").isNull() | ~F.col("text").rlike(r"[^\s\u00A0\u200B\uFEFF]")
-    cause = F.when(blank, None).when(limit_cut, "field_limit").when(transfer_cut & ~spaced, "transfer")
+    cause = F.when(F.col("blank"), None).when(limit_cut, "field_limit").when(transfer_cut & ~F.col("spaced"), "transfer")
     return met.select("doc_id", "source", cause.alias("cause")).select("doc_id", "source", F.col("cause").isNotNull().alias("is_cut"), "cause")
 
 
