@@ -238,7 +238,7 @@ def flag_implausible(
     hour_ms: int = 3_600_000,
     spike_sigmas: float = 8.5,
     quiet_sigmas: float = 3.5,
-    run_factor: float = 1.6,
+    run_margin: float = 5.0,
     min_stuck: int = 8,
 ) -> DataFrame:
     """Columns ``source``, ``ts_ms``, ``value``, ``reason`` (``spike``, ``impossible`` or ``stuck``), one row a reading.
@@ -270,8 +270,8 @@ def flag_implausible(
             F.sum("n_negative").alias("n_negative"),
         )
         .withColumn("p_same", F.greatest(F.when(F.col("n_pairs") > 0, F.col("n_same") / F.col("n_pairs")).otherwise(F.lit(1.0)), F.lit(1e-3)))
-        # the longest of n * (1 - p) runs that go on with probability p
-        .withColumn("longest", F.when(F.col("p_same") > 0.9, F.lit(None).cast("double")).otherwise(F.greatest(F.lit(float(min_stuck)), run_factor * F.log(F.greatest(F.col("n") * (1 - F.col("p_same")), F.lit(3.0))) / -F.log("p_same"))))
+        # n * (1 - p) runs that each go on with probability p: one longer than this comes by chance once in exp(margin) sources
+        .withColumn("longest", F.when(F.col("p_same") > 0.9, F.lit(None).cast("double")).otherwise(F.greatest(F.lit(float(min_stuck)), (F.log(F.greatest(F.col("n") * (1 - F.col("p_same")), F.lit(3.0))) + run_margin) / -F.log("p_same"))))
         .select("src", "scale", "top", "step", "n_negative", F.col("n").alias("n_source"), "longest")
     )
     nines = F.regexp_replace(F.abs("value").cast("string"), r"[.0]+$", "").rlike(r"^9{2,}(\.9+)?$")
