@@ -1,7 +1,6 @@
 """Drift of bodies against the expected shape, and the drift log.
 
-Events have (endpoint, path, kind, detail, severity, chunk). The wording of ``detail`` is part of the log's key once
-its digits are masked, so it is a fixed value.
+Events have (endpoint, path, kind, detail, severity, chunk).
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparse import mask_digits
 from ..functions.values import has_number, is_empty_text
-from ..schema import EXPECTED, HANDLERS, TREND_NAMES, TREND_POINTS
+from ..schema import DRIFT_TEXT, EXPECTED, HANDLERS, TREND_NAMES, TREND_POINTS
 from .dedupe import first_per_key
 from .explode import entities, parse_bodies, records, top_level
 from .trend import TOLERANCE_S, decode_trends
@@ -30,8 +29,13 @@ def _explode(rows: DataFrame, events: Column) -> DataFrame:
     return each.select("endpoint", "e.path", "e.kind", "e.detail", "e.severity", "chunk")
 
 
-def _say(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("None")) for p in parts])
+def _say(text: str, *values: Column) -> Column:
+    """A text of DRIFT_TEXT with its gaps filled."""
+    parts = DRIFT_TEXT[text].split("{}")
+    filled = [F.lit(parts[0])]
+    for value, part in zip(values, parts[1:], strict=True):
+        filled += [F.coalesce(value.cast("string"), F.lit("None")), F.lit(part)]
+    return F.concat(*filled)
 
 
 def _names(items: dict[str, tuple[str, ...]]) -> Column:
@@ -43,17 +47,17 @@ def body_drift(bodies: DataFrame) -> DataFrame:
     parsed = parse_bodies(bodies)
     is_object = F.col("kind") == "object"
     expected = F.coalesce(F.try_element_at(_names({e: tuple(k) for e, k in EXPECTED.items()}), F.col("endpoint")), F.array().cast("array<string>"))
-    missing = F.transform(F.array_except(expected, F.expr("coalesce(map_keys(try_cast(v AS map<string, variant>)), array())")), lambda k: _event(is_object, k, "missing_key", F.concat(F.lit("top-level key '"), k, F.lit("' missing")), "ERROR"))
+    missing = F.transform(F.array_except(expected, F.expr("coalesce(map_keys(try_cast(v AS map<string, variant>)), array())")), lambda k: _event(is_object, k, "missing_key", _say("missing_key", k), "ERROR"))
     whole = F.array(
-        _event(F.col("kind") == "null", "$", "invalid_json", F.lit("body is no JSON"), "ERROR"),
-        _event(~F.col("kind").isin("null", "object"), "$", "type_change", _say("top level is ", F.col("kind")), "ERROR"),
-        _event(is_object & F.col("update_local").isNull(), "update", "bad_timestamp", _say("update=", F.expr("try_variant_get(v, '$.update', 'string')"), "; falling back to fetch time"), "ERROR"),
+        _event(F.col("kind") == "null", "$", "invalid_json", _say("invalid_json"), "ERROR"),
+        _event(~F.col("kind").isin("null", "object"), "$", "type_change", _say("top_type", F.col("kind")), "ERROR"),
+        _event(is_object & F.col("update_local").isNull(), "update", "bad_timestamp", _say("bad_update", F.expr("try_variant_get(v, '$.update', 'string')")), "ERROR"),
     )
     known = F.array(*map(F.lit, [*HANDLERS, *(f"{e}.{k}" for e in EXPECTED for k in ("update", "trend"))]))
     unknown = ~F.array_contains(known, F.col("stream")) | ((F.col("stream") == "flow.msg") & (F.col("val_kind") != "object"))
     keys = F.array(
-        _event(unknown, F.col("key"), "new_key", _say("unexpected top-level key '", F.col("key"), "' (", F.col("val_kind"), ")"), "WARN"),
-        _event(F.col("handler").isin("name", "pie", "tag", "position", "pair", "fixed") & (F.col("val_kind") != "array"), F.col("stream"), "type_change", _say("expected list, got ", F.col("val_kind")), "ERROR"),
+        _event(unknown, F.col("key"), "new_key", _say("new_key", F.col("key"), F.col("val_kind")), "WARN"),
+        _event(F.col("handler").isin("name", "pie", "tag", "position", "pair", "fixed") & (F.col("val_kind") != "array"), F.col("stream"), "type_change", _say("list_type", F.col("val_kind")), "ERROR"),
     )
     return _explode(parsed, F.concat(whole, missing)).unionByName(_explode(top_level(parsed), keys))
 
@@ -71,15 +75,15 @@ def record_drift(bodies: DataFrame) -> DataFrame:
         F.coalesce(F.transform(F.array_except(expected, keys), plain("missing_field", "WARN")), F.array()),
         F.coalesce(F.transform(F.array_except(keys, expected), plain("new_field", "WARN")), F.array()),
         F.array(
-            one(F.col("by_position") & F.col("handler").isin("name", "pie", "tag"), "missing_entity_key", _say("record ", F.col("i"), " has no '", key, "'; keyed by position"), "ERROR"),
-            one((F.col("handler") == "tag") & F.expr("map_contains_key(m, 'timestamp')") & F.col("scada").isNull(), "bad_timestamp", _say("record ", F.col("i"), ": ", F.col("scada_text")), "WARN"),
-            one(F.col("bad_label"), "label_format", _say("pie label not recognised: ", F.col("label")), "WARN"),
+            one(F.col("by_position") & F.col("handler").isin("name", "pie", "tag"), "missing_entity_key", _say("missing_entity_key", F.col("i"), key), "ERROR"),
+            one((F.col("handler") == "tag") & F.expr("map_contains_key(m, 'timestamp')") & F.col("scada").isNull(), "bad_timestamp", _say("bad_timestamp", F.col("i"), F.col("scada_text")), "WARN"),
+            one(F.col("bad_label"), "label_format", _say("label_format", F.col("label")), "WARN"),
         ),
     )
     each = named.select("endpoint", "chunk", "stream", "n_records", F.explode(F.filter(marks, lambda e: e.isNotNull())).alias("e"))
     # a field counts once per list: in how many records it is missing, or that it is there
     counted = each.groupBy("endpoint", "chunk", "stream", "n_records", "e.kind", "e.k", "e.severity").agg(F.count("*").alias("n"))
-    detail = F.when(F.col("kind") == "missing_field", _say("'", F.col("k"), "' missing in ", F.col("n"), "/", F.col("n_records"), " records")).when(F.col("kind") == "new_field", _say("'", F.col("k"), "' (parsed as a new field)")).otherwise(F.col("k"))
+    detail = F.when(F.col("kind") == "missing_field", _say("missing_field", F.col("k"), F.col("n"), F.col("n_records"))).when(F.col("kind") == "new_field", _say("new_field", F.col("k"))).otherwise(F.col("k"))
     return counted.select("endpoint", F.col("stream").alias("path"), "kind", F.substring(detail, 1, 500).alias("detail"), "severity", "chunk")
 
 
@@ -99,14 +103,14 @@ def trend_drift(bodies: DataFrame) -> DataFrame:
     near = F.coalesce(F.col("gap1"), F.lit(10**9)) <= TOLERANCE_S
     some, path = F.col("n") > 0, "trend.series"
     events = F.array(
-        _event(~some, path, "missing_key", F.lit("trend.series missing or empty"), "ERROR"),
-        _event(some & ~F.coalesce(F.col("names") == F.array(*map(F.lit, TREND_NAMES)), F.lit(False)), "trend.names", "label_change", _say("names=", F.to_json("names")), "WARN"),
-        _event(some & far & near, "trend.series.time", "month_indexing_changed", F.lit("last trend point only matches `update` with ONE-based months; decoding one-based"), "ERROR"),
-        _event(some & far & ~near, "trend.series.time", "label_mismatch", _say("last trend point ", F.col("last"), " does not match update ", F.col("base"), "; labels used as-is"), "ERROR"),
-        _event(some & (F.col("n_bad") > 0), path, "bad_value", _say(F.col("n_bad"), " unparseable points/values of ", F.col("n")), "WARN"),
-        _event(some & (F.col("n_empty") > 0), path, "empty_values", _say(F.col("n_empty"), " empty values of ", F.col("n"), " points"), "WARN"),
-        _event(some & (F.col("steps") > 0), path, "irregular_step", _say(F.col("steps"), " steps != 1 minute"), "WARN"),
-        _event(some & (F.col("n") != TREND_POINTS), path, "length_change", _say(F.col("n"), f" points (was {TREND_POINTS})"), "WARN"),
+        _event(~some, path, "missing_key", _say("no_series"), "ERROR"),
+        _event(some & ~F.coalesce(F.col("names") == F.array(*map(F.lit, TREND_NAMES)), F.lit(False)), "trend.names", "label_change", _say("label_change", F.to_json("names")), "WARN"),
+        _event(some & far & near, "trend.series.time", "month_indexing_changed", _say("month_indexing_changed"), "ERROR"),
+        _event(some & far & ~near, "trend.series.time", "label_mismatch", _say("label_mismatch", F.col("last"), F.col("base")), "ERROR"),
+        _event(some & (F.col("n_bad") > 0), path, "bad_value", _say("bad_value", F.col("n_bad"), F.col("n")), "WARN"),
+        _event(some & (F.col("n_empty") > 0), path, "empty_values", _say("empty_values", F.col("n_empty"), F.col("n")), "WARN"),
+        _event(some & (F.col("steps") > 0), path, "irregular_step", _say("irregular_step", F.col("steps")), "WARN"),
+        _event(some & (F.col("n") != TREND_POINTS), path, "length_change", _say("length_change", F.col("n"), F.lit(TREND_POINTS)), "WARN"),
     )
     return _explode(counted.withColumn("steps", steps), events)
 

@@ -58,6 +58,28 @@ HANDLERS = {
 TREND_NAMES = ("Generación", "Demanda Real", "Demanda Pronosticada")
 TREND_POINTS = 1441
 BENIGN_DRIFT = ("irregular_step", "empty_values")
+# Wording of drift events. With its digits masked it is part of the drift log's key.
+DRIFT_TEXT = {
+    "invalid_json": "body is no JSON",
+    "top_type": "top level is {}",
+    "missing_key": "top-level key '{}' missing",
+    "bad_update": "update={}; falling back to fetch time",
+    "new_key": "unexpected top-level key '{}' ({})",
+    "list_type": "expected list, got {}",
+    "missing_field": "'{}' missing in {}/{} records",
+    "new_field": "'{}' (parsed as a new field)",
+    "missing_entity_key": "record {} has no '{}'; keyed by position",
+    "bad_timestamp": "record {}: {}",
+    "label_format": "pie label not recognised: {}",
+    "no_series": "trend.series missing or empty",
+    "label_change": "names={}",
+    "month_indexing_changed": "last trend point only matches `update` with ONE-based months; decoding one-based",
+    "label_mismatch": "last trend point {} does not match update {}; labels used as-is",
+    "bad_value": "{} unparseable points/values of {}",
+    "empty_values": "{} empty values of {} points",
+    "irregular_step": "{} steps != 1 minute",
+    "length_change": "{} points (was {})",
+}
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
