@@ -14,7 +14,7 @@ DATA = os.environ.get("PULSEGRID_TESTDATA", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="3g", spark__sql__autoBroadcastJoinThreshold="1m"
+        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="3g", spark__sql__autoBroadcastJoinThreshold="1m", spark__sql__codegen__wholeStage="false", spark__sql__codegen__factoryMode="NO_CODEGEN"
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
