@@ -18,8 +18,3 @@ def key_hash(*cols: str | Column) -> Column:
 def epoch_ms(col: str | Column) -> Column:
     """Milliseconds since the epoch, rounded down."""
     return F.unix_millis(F.col(col) if isinstance(col, str) else col)
-
-
-def local_minute(col: Column) -> Column:
-    """Minutes since 1970-01-01 00:00 of a wall clock without zone."""
-    return F.floor(F.unix_micros(F.convert_timezone(F.lit("UTC"), F.lit("UTC"), col).cast("timestamp")) / F.lit(60_000_000)).cast("long")

@@ -63,6 +63,11 @@ def floor_minute(at: Column) -> Column:
     return F.date_trunc("MINUTE", at)
 
 
+def minutes(n: int) -> Column:
+    """An interval to add to instants."""
+    return F.make_dt_interval(mins=F.lit(n))
+
+
 def month_of_chunk(chunk: Column) -> Column:
     """'202609' of a chunk's name."""
     return F.regexp_extract(chunk, r"_(\d{6})\d{2}T\d{6}Z_", 1)

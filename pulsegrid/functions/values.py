@@ -34,8 +34,8 @@ def text_beside(text: Column) -> Column:
 
 def json_type(v: str) -> str:
     """SQL: ``null``, ``string``, ``boolean``, ``number``, ``object`` or ``array`` of a variant."""
-    kind = f"schema_of_variant({v})"
-    return f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'null' WHEN {kind} = 'STRING' THEN 'string' WHEN {kind} = 'BOOLEAN' THEN 'boolean' WHEN {kind} LIKE 'OBJECT%' THEN 'object' WHEN {kind} LIKE 'ARRAY%' THEN 'array' ELSE 'number' END"
+    # casts of containers are shallow, while the schema of one would be inferred to its depths
+    return f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'null' WHEN try_cast({v} AS array<variant>) IS NOT NULL THEN 'array' WHEN try_cast({v} AS map<string, variant>) IS NOT NULL THEN 'object' ELSE CASE schema_of_variant({v}) WHEN 'STRING' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END END"
 
 
 def is_empty_text(v: str) -> str:

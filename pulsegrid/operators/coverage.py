@@ -9,6 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import every_cell, with_previous
+
+
+def label_minute(label: str) -> Column:
+    """The number of a label's minute: labels are wall clock, so the cells and their intervals are local."""
+    return F.floor(F.unix_micros(F.col(label).cast("timestamp")) / 60_000_000).cast("long")
+
 
 def held_cells(samples: DataFrame, series: str, cell: Column) -> DataFrame:
     """(cell, n_series): how many series have a sample in a cell. Null series and cells don't count."""
@@ -22,22 +29,24 @@ def grid(samples: DataFrame, series: str, cell: Column, since: int | None = None
     marked = held.select("cell", (F.col("n_series") == every.scalar()).alias("is_held"))
     first = F.lit(since) if since is not None else F.min(F.when(F.col("is_held"), F.col("cell")))
     last = F.lit(until) if until is not None else F.max("cell")
-    bounds = marked.agg(first.cast("long").alias("a"), last.cast("long").alias("b")).filter("a <= b")
-    return bounds.select(F.explode(F.sequence("a", "b")).alias("cell")).join(marked, "cell", "left").select("cell", F.coalesce("is_held", F.lit(False)).alias("is_held"))
+    bounds = marked.agg(first.cast("long").alias("a"), last.cast("long").alias("b"))
+    return every_cell(bounds, (), "a", "b").join(marked, "cell", "left").select("cell", F.coalesce("is_held", F.lit(False)).alias("is_held"))
 
 
 def intervals(cells: DataFrame, by: tuple[str, ...] = (), block: int = 4096) -> DataFrame:
     """Runs of consecutive ``cell`` as (by, start_cell, end_cell, n_cells): gaps and islands.
 
-    Islands form within blocks of cells first, then across blocks from one row per island, so no window sees a whole
-    series' cells. Repeated cells count once.
+    Islands form within blocks of cells. Only those that touch a block's edge, at most two a block, can go on in the
+    next one: they alone are ordered across blocks. Repeated cells count once.
     """
     once = cells.select(*by, "cell").distinct().withColumn("_b", F.floor(F.col("cell") / block))
     inner = once.withColumn("_g", F.col("cell") - F.row_number().over(Window.partitionBy(*by, "_b").orderBy("cell"))).groupBy(*by, "_b", "_g").agg(F.min("cell").alias("a"), F.max("cell").alias("b"))
-    w = Window.partitionBy(*by).orderBy("a")
-    fresh = F.when(F.col("a") == F.lag("b").over(w) + 1, 0).otherwise(1)
+    at_edge = (F.col("a") == F.col("_b") * block) | (F.col("b") == F.col("_b") * block + block - 1)
+    inner = inner.withColumn("_own", F.when(~at_edge, F.col("_b")))
+    w = Window.partitionBy(*by, "_own").orderBy("a")
+    fresh = F.when(F.col("_own").isNull() & (F.col("a") == F.lag("b").over(w) + 1), 0).otherwise(1)
     runs = inner.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy(*by, "_run").agg(F.min("a").alias("start_cell"), F.max("b").alias("end_cell")).select(*by, "start_cell", "end_cell", (F.col("end_cell") - F.col("start_cell") + 1).alias("n_cells"))
+    return runs.groupBy(*by, "_own", "_run").agg(F.min("a").alias("start_cell"), F.max("b").alias("end_cell")).select(*by, "start_cell", "end_cell", (F.col("end_cell") - F.col("start_cell") + 1).alias("n_cells"))
 
 
 def label_intervals(runs: DataFrame) -> DataFrame:
@@ -84,10 +93,14 @@ def cadence(updates: DataFrame, instant: str, expected_per_day: int = 288) -> Da
     )
 
 
-def step_anomalies(rows: DataFrame, key: tuple[str, ...], order: str, at: str, step_s: int) -> DataFrame:
-    """Per key: how many steps between consecutive non-null ``at`` aren't ``step_s`` seconds."""
-    gap = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.lag(at).over(Window.partitionBy(*key).orderBy(order)).cast("timestamp"))
-    return rows.filter(F.col(at).isNotNull()).withColumn("_gap", gap).groupBy(*key).agg(F.count_if(F.col("_gap") != step_s * 1_000_000).alias("n_steps"))
+def step_anomalies(rows: DataFrame, key: tuple[str, ...], at: str, step_s: int) -> DataFrame:
+    """Per key: how many steps between consecutive distinct non-null ``at`` aren't ``step_s`` seconds.
+
+    Neighbours are found within days; a key holding most rows spreads over its days.
+    """
+    once = rows.select(*key, F.unix_micros(F.col(at).cast("timestamp")).alias("_t")).filter("_t is not null").distinct()
+    paired = with_previous(once, key, F.floor(F.col("_t") / 86_400_000_000).cast("long"), ("_t",), "_t", "_before")
+    return paired.groupBy(*key).agg(F.count_if(F.col("_t") - F.col("_before") != step_s * 1_000_000).alias("n_steps"))
 
 
 def new_intervals(now: DataFrame, before: DataFrame) -> DataFrame:
@@ -96,4 +109,38 @@ def new_intervals(now: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def top_intervals(runs: DataFrame, n: int = 50) -> DataFrame:
-    return runs.orderBy("start_cell").limit(n)
+    """The first ``n`` intervals, each with ``n_more``: how many follow them unlisted."""
+    more = F.greatest(runs.agg(F.count("*")).scalar() - n, F.lit(0))
+    return runs.orderBy("start_cell").limit(n).withColumn("n_more", more)
+
+
+def last_days(cadence_rows: DataFrame, n: int = 31) -> DataFrame:
+    """The latest ``n`` days of a cadence table."""
+    return cadence_rows.orderBy(F.desc("day_utc")).limit(n)
+
+
+def report(samples: DataFrame, series: str, cell: Column, instant: str, versions: DataFrame, cadence_rows: DataFrame, since: int | None = None, until: int | None = None) -> str:
+    """Completeness as text: window, share held, series, the first 50 gaps, revisions, the last 31 days of cadence.
+
+    What is collected is one row per series, 50 gaps and 31 days.
+    """
+    window = grid(samples, series, cell, since, until)
+    whole = coverage_summary(window).first()
+    if not whole.n_expected:
+        return "No trend data."
+    lines = [f"minutes expected {whole.n_expected:,}, held {whole.n_held:,}, missing {whole.n_expected - whole.n_held:,}", f"completeness {100 * whole.completeness:.3f} %"]
+    lines += [f"  {r.series}: {r.n_held:,} minutes" for r in held_per_series(samples, series, cell, window).orderBy("series").collect()]
+    spread = phases(samples, instant, cell, window).agg(F.avg("n_phases").alias("mean"), F.min("n_phases").alias("least")).first()
+    if spread.mean is not None:
+        lines.append(f"distinct instants per held minute: mean {spread.mean:.2f}, least {spread.least}")
+    gaps = top_intervals(intervals(window.filter("not is_held"))).collect()
+    lines.append(f"missing intervals: {len(gaps) + (gaps[0].n_more if gaps else 0)}")
+    spark = samples.sparkSession
+    texts = label_intervals(spark.createDataFrame(gaps, "start_cell long, end_cell long, n_cells long, n_more long")).orderBy("start_local") if gaps else None
+    lines += [f"  {r.start_local:%Y-%m-%d %H:%M} to {r.end_local:%Y-%m-%d %H:%M} local, {r.minutes} min" for r in (texts.collect() if texts is not None else [])]
+    if gaps and gaps[0].n_more:
+        lines.append(f"  and {gaps[0].n_more} more")
+    lines += [f"revised {r.series}: {r.n_revised:,} of {r.n_samples:,} samples" for r in revision_stats(versions, series, "timestamp_utc").orderBy("series").collect()]
+    days = sorted(last_days(cadence_rows).collect(), key=lambda r: str(r.day_utc))
+    lines += [f"{r.day_utc}: {r.observations} updates, {r.pct_of_expected:.1f} % of expected" for r in days] or ["no snapshot data"]
+    return "\n".join(lines)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.timeparse import mask_digits
 from ..functions.values import has_number, is_empty_text
 from ..schema import DRIFT_TEXT, EXPECTED, HANDLERS, TREND_NAMES, TREND_POINTS
-from .dedupe import first_per_key
 from .explode import entities, parse_bodies, records, top_level
 from .trend import TOLERANCE_S, decode_trends
 
@@ -92,7 +91,7 @@ def trend_drift(bodies: DataFrame) -> DataFrame:
     decoded = decode_trends(bodies)
     values = "flatten(transform(filter(arrays_zip(labels, series), p -> p.labels IS NOT NULL), p -> coalesce(try_variant_get(p.series, '$.value', 'array<variant>'), array())))"
     counted = decoded.select(
-        "endpoint", "chunk", "names", "base", "gap0", "gap1",
+        "endpoint", "chunk", "names", "base", "gap0", "gap1", "broken",
         F.coalesce(F.size("series"), F.lit(0)).alias("n"), F.expr("try_element_at(labels, -1)").alias("last"), F.filter("labels", lambda x: x.isNotNull()).alias("good"),
         F.expr(f"aggregate({values}, named_struct('e', 0, 'b', 0), (a, x) -> named_struct('e', a.e + CASE WHEN {is_empty_text('x')} THEN 1 ELSE 0 END, 'b', a.b + CASE WHEN NOT {is_empty_text('x')} AND NOT {has_number('x')} THEN 1 ELSE 0 END))").alias("c"),
     )
@@ -101,9 +100,10 @@ def trend_drift(bodies: DataFrame) -> DataFrame:
     steps = F.expr(f"CASE WHEN size(good) > 1 THEN {step} ELSE 0 END")
     far = F.coalesce(F.col("gap0"), F.lit(10**9)) > TOLERANCE_S
     near = F.coalesce(F.col("gap1"), F.lit(10**9)) <= TOLERANCE_S
-    some, path = F.col("n") > 0, "trend.series"
+    some, path = (F.col("n") > 0) & ~F.col("broken"), "trend.series"
     events = F.array(
-        _event(~some, path, "missing_key", _say("no_series"), "ERROR"),
+        _event(F.col("broken"), "trend", "parse_error", _say("parse_error"), "ERROR"),
+        _event((F.col("n") == 0) & ~F.col("broken"), path, "missing_key", _say("no_series"), "ERROR"),
         _event(some & ~F.coalesce(F.col("names") == F.array(*map(F.lit, TREND_NAMES)), F.lit(False)), "trend.names", "label_change", _say("label_change", F.to_json("names")), "WARN"),
         _event(some & far & near, "trend.series.time", "month_indexing_changed", _say("month_indexing_changed"), "ERROR"),
         _event(some & far & ~near, "trend.series.time", "label_mismatch", _say("label_mismatch", F.col("last"), F.col("base")), "ERROR"),
@@ -120,11 +120,14 @@ def drift_events(bodies: DataFrame) -> DataFrame:
     return body_drift(bodies).unionByName(record_drift(bodies)).unionByName(trend_drift(bodies))
 
 
-def drift_rollup(events: DataFrame) -> DataFrame:
-    """One row per (endpoint, path, kind, pattern): severity and example of the first event by chunk, first and last chunk, number of chunks."""
+def drift_rollup(events: DataFrame, per_chunk: bool = False) -> DataFrame:
+    """One row per (endpoint, path, kind, pattern): severity and example of the first event by chunk, first and last chunk, number of chunks.
+
+    ``per_chunk`` gives one row per chunk, too.
+    """
     keyed = events.withColumn("pattern", mask_digits(F.col("detail")))
     first = F.struct("chunk", "detail")
-    return keyed.groupBy("endpoint", "path", "kind", "pattern").agg(
+    return keyed.groupBy("endpoint", "path", "kind", "pattern", *(["chunk"] if per_chunk else [])).agg(
         F.min_by("severity", first).alias("severity"), F.min_by("detail", first).alias("example"), F.min("chunk").alias("first_seen_chunk"), F.max("chunk").alias("last_seen_chunk"), F.count_distinct("chunk").alias("n_chunks")
     )
 
@@ -145,9 +148,3 @@ def new_kinds(log: DataFrame, rollup: DataFrame, benign: tuple[str, ...] = ()) -
     """Rollup rows whose key the log doesn't have, benign kinds left out: what is worth an alert."""
     key = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in ("endpoint", "path", "kind", "pattern")]
     return rollup.filter(~F.col("kind").isin(*benign) if benign else F.lit(True)).alias("r").join(log.alias("l"), on=key, how="left_anti")
-
-
-def upsert_rows(old: DataFrame, new: DataFrame, key: tuple[str, ...], tie: tuple[str, ...] = ()) -> DataFrame:
-    """Old rows and those new ones whose key is new; within one side the first by ``tie``."""
-    both = old.withColumn("_side", F.lit(0)).unionByName(new.withColumn("_side", F.lit(1)))
-    return first_per_key(both, key, ("_side", *tie)).drop("_side")

@@ -20,9 +20,10 @@ def literal_map(items: dict[str, str]) -> Column:
 
 
 def parse_bodies(bodies: DataFrame) -> DataFrame:
-    """Add ``v`` (variant, null if the body is no JSON), ``kind``, ``update_local`` and ``update_utc``. Expects endpoint, body, fetched_at_utc, chunk."""
+    """Add ``v`` (variant, null if the body, text or bytes, is no JSON in UTF-8), ``kind``, ``update_local`` and ``update_utc``. Expects endpoint, body, fetched_at_utc, chunk."""
     prepare(bodies.sparkSession)
-    parsed = bodies.withColumn("v", F.expr("try_parse_json(regexp_replace(body, '^\\\\uFEFF', ''))")).withColumn("kind", F.expr(json_type("v")))
+    text = "CAST(body AS string)"
+    parsed = bodies.withColumn("v", F.expr(f"try_parse_json(CASE WHEN is_valid_utf8({text}) THEN regexp_replace({text}, '^\\\\uFEFF', '') END)")).withColumn("kind", F.expr(json_type("v")))
     local = spanish_ts(F.expr("CASE WHEN kind = 'object' THEN try_variant_get(v, '$.update', 'string') END"))
     return parsed.withColumn("update_local", local).withColumn("update_utc", local_to_utc(F.col("update_local")))
 

@@ -31,7 +31,7 @@ def export_all(trend: DataFrame, snapshots: DataFrame, out: str) -> list[str]:
         "snapshots": (with_month(snapshots).withColumn("stream_part", F.col("stream")), ("stream_part", "month"), "parquet"),
     }
     for name, (rows, by, fmt) in jobs.items():
-        writer = rows.repartition(*by).write.mode("overwrite").partitionBy(*by)
+        writer = rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
         writer.option("header", True).csv(f"{out}/{name}") if fmt == "csv" else writer.option("compression", "zstd").parquet(f"{out}/{name}")
     return [f"{out}/{name}" for name in jobs]
 
@@ -42,21 +42,5 @@ def write_manifests(held: DataFrame, missing: DataFrame, cadence: DataFrame, out
     for name, runs in (("held", held), ("missing", missing)):
         texts = runs.select(*[F.date_format(c, minute).alias(c) for c in ("start_local", "end_local")], *[F.date_format(c, minute + "'Z'").alias(c) for c in ("start_utc", "end_utc")], "minutes")
         texts.orderBy("start_local").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}_intervals")
-    rounded = cadence.select("day_utc", "observations", *[F.round(c, 2).alias(c) for c in ("median_spacing_min", "p95_spacing_min", "max_spacing_min")], F.round("pct_of_expected", 1).alias("pct_of_expected"))
+    rounded = cadence.select("day_utc", "observations", *[F.bround(c, 2).alias(c) for c in ("median_spacing_min", "p95_spacing_min", "max_spacing_min")], F.bround("pct_of_expected", 1).alias("pct_of_expected"))
     rounded.orderBy("day_utc").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/cadence")
-
-
-def read_manifest(spark, path: str, schema) -> DataFrame:
-    """A manifest with its all-text schema; an absent one is empty."""
-    from ..session import path_exists
-
-    return spark.read.schema(schema).option("header", True).csv(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
-
-
-def write_fetch_log(log: DataFrame, out: str) -> None:
-    """Fetch results by month of their chunk; a chunk and endpoint counts once."""
-    from ..functions.timeparse import month_of_chunk
-    from .dedupe import first_per_key
-
-    once = first_per_key(log, ("chunk", "endpoint"), ("fetched_at_utc",)).withColumn("month", month_of_chunk(F.col("chunk")))
-    once.repartition("month").sortWithinPartitions("chunk", "endpoint").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(out)

@@ -6,6 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def every_cell(bounds: DataFrame, by: tuple[str, ...], first: str, last: str, span: int = 4096) -> DataFrame:
+    """(by, cell) for every number from ``first`` to ``last``; exploded by blocks, so no array is longer than ``span``."""
+    block = lambda c: F.floor(F.col(c) / span).cast("long")
+    blocks = bounds.filter(F.col(first) <= F.col(last)).select(*by, first, last, F.explode(F.sequence(block(first), block(last))).alias("_b"))
+    return blocks.select(*by, F.explode(F.sequence(F.greatest(F.col("_b") * span, F.col(first)), F.least(F.col("_b") * span + span - 1, F.col(last)))).alias("cell"))
+
+
 def with_previous(rows: DataFrame, key: tuple[str, ...], block: Column, order: tuple[str, ...], carry: str, into: str) -> DataFrame:
     """Add ``into``: ``carry`` of the row before, per key in ``order`` (unique within a key), null for the first.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparse import local_to_utc
 from .dedupe import latest_per_key, span_per_version
+from .ordering import every_cell
 
 
 def versions(trend: DataFrame) -> DataFrame:
@@ -33,5 +34,6 @@ def hourly_means(rows: DataFrame, entity: str = "entity", instant: str = "timest
     """Mean per entity and hour; hours without rows between an entity's first and last come with a null value."""
     hour = F.floor(F.unix_micros(F.col(instant).cast("timestamp")) / 3_600_000_000).cast("long")
     held = rows.filter(F.col(entity).isNotNull() & F.col(instant).isNotNull()).groupBy(F.col(entity).alias("entity"), hour.alias("hour")).agg(F.avg(value).alias("value"))
-    grid = held.groupBy("entity").agg(F.explode(F.sequence(F.min("hour"), F.max("hour"))).alias("hour"))
+    bounds = held.groupBy("entity").agg(F.min("hour").alias("first"), F.max("hour").alias("last"))
+    grid = every_cell(bounds, ("entity",), "first", "last").withColumnRenamed("cell", "hour")
     return grid.join(held, ["entity", "hour"], "left").select("entity", F.timestamp_seconds(F.col("hour") * 3600).cast("timestamp_ntz").alias("hour"), "value")

@@ -9,14 +9,15 @@ from ..functions import timeparse as tp
 from ..functions.values import PIE, number_of, pie_label, text_beside
 from ..operators import coverage as cov
 from ..operators import drift, monitor, verify
-from ..operators.dedupe import first_per_key
+from ..operators.dedupe import first_per_key, upsert_rows
 from ..operators.explode import literal_map, snapshot_rows
 from ..operators.export import with_month, with_year
-from ..operators.merge import merge_snapshots, merge_trend
+from ..operators.merge import merge_log, merge_snapshots, merge_trend, read_log
+from ..operators.trend import trend_rows
 from ..operators.views import canonical, hourly_means, minute_means, versions
-from ..schema import SNAPSHOT, SNAPSHOT_KEY, TREND, UNITS
+from ..schema import BENIGN_DRIFT, FETCH_LOG, SNAPSHOT, SNAPSHOT_KEY, TREND, UNITS
 from ..session import drop_path, prepare, work_path
-from ..sources.archives import CHUNK, chunk_name, pending, with_info
+from ..sources.archives import CHUNK, between_days, chunk_name, of_month, pending, release_day, with_info
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -120,7 +121,7 @@ def merge_again_is_no_change(spark, folder):
 QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY side, ingested_at_utc, snapshot_rows, trend_rows, drift_events) = 1""")
 def upsert_merge(spark, folder):
     ledger = table(spark, folder, "ingested_chunks")
-    return drift.upsert_rows(ledger.filter("snapshot_rows <> 'nan'"), ledger, ("chunk",), ("ingested_at_utc", "snapshot_rows", "trend_rows", "drift_events"))
+    return upsert_rows(ledger.filter("snapshot_rows <> 'nan'"), ledger, ("chunk",), ("ingested_at_utc", "snapshot_rows", "trend_rows", "drift_events"))
 
 
 @query("""SELECT chunk, endpoint, substr(chunk, 6, 6) AS month, ok, status, attempts FROM fetch_log
@@ -130,9 +131,20 @@ def fetch_log_monthly(spark, folder):
     return once.select("chunk", "endpoint", tp.month_of_chunk(F.col("chunk")).alias("month"), "ok", "status", "attempts")
 
 
+@query("""SELECT chunk, endpoint, status, ok, attempts, bytes FROM fetch_log
+QUALIFY row_number() OVER (PARTITION BY chunk, endpoint ORDER BY status NULLS LAST, ok NULLS LAST, attempts NULLS LAST, bytes NULLS LAST, elapsed_s NULLS LAST, fetched_at_utc NULLS LAST, error NULLS LAST) = 1""")
+def fetch_log_batches(spark, folder):
+    """Two batches that share a month, written one after the other and read back: neither replaces the other."""
+    log = table(spark, folder, "fetch_log")
+    root = work_path(spark, "store")
+    early = F.col("endpoint").isin("sin", "gen", "vert")
+    for part in (log.filter(early), log.filter(~early), log.filter(early)):
+        merge_log(part, root, FETCH_LOG, ("chunk", "endpoint"))
+    return read_log(spark, root, FETCH_LOG).select("chunk", "endpoint", "status", "ok", "attempts", "bytes")
+
+
 # --- coverage ------------------------------------------------------------------------------------------------------
-COVER = """cells AS (SELECT entity, epoch_us(timestamp_utc) // 1000000 // 3600 AS cell, timestamp_utc FROM trend_rows WHERE value IS NOT NULL AND entity IS NOT NULL),
-minutes AS (SELECT entity, epoch_us(timestamp_utc) // 60000000 AS cell, timestamp_utc FROM trend_rows WHERE value IS NOT NULL AND entity IS NOT NULL),
+COVER = """minutes AS (SELECT entity, epoch_us(date_trunc('minute', minute_label_local)) // 60000000 AS cell, timestamp_utc FROM trend_rows WHERE value IS NOT NULL AND entity IS NOT NULL AND minute_label_local IS NOT NULL),
 held AS (SELECT cell, count(DISTINCT entity) AS n_series FROM minutes GROUP BY cell),
 marked AS (SELECT cell, n_series = (SELECT count(DISTINCT entity) FROM trend_rows WHERE value IS NOT NULL) AS is_held FROM held),
 win AS (SELECT g.cell, coalesce(m.is_held, false) AS is_held FROM (SELECT unnest(range((SELECT min(cell) FROM marked WHERE is_held), (SELECT max(cell) FROM marked) + 1)) AS cell) g LEFT JOIN marked m USING (cell))"""
@@ -140,7 +152,8 @@ _RUNS = """SELECT min(cell) AS start_cell, max(cell) AS end_cell, count(*) AS n_
 
 
 def minute() -> Column:
-    return F.floor(F.unix_micros("timestamp_utc") / 60_000_000).cast("long")
+    """Minutes are local ones, told by their label; rows without label are in none."""
+    return cov.label_minute("minute_label_local")
 
 
 def _samples(spark, folder) -> DataFrame:
@@ -171,13 +184,15 @@ def held_intervals(spark, folder):
     return cov.intervals(_window(spark, folder).filter("is_held"))
 
 
-@query(f"WITH {COVER} SELECT make_timestamp(start_cell * 60000000) AS start_local, make_timestamp(end_cell * 60000000) AS end_local, start_cell * 60000000 + 18000000000 AS start_utc, end_cell * 60000000 + 18000000000 AS end_utc, n_cells AS minutes FROM ("
-       + _RUNS.format(cond="NOT is_held") + ")")
+@query("""WITH labels AS (SELECT entity, date_trunc('minute', minute_label_local) AS t FROM trend_rows WHERE value IS NOT NULL AND minute_label_local IS NOT NULL),
+full_ones AS (SELECT t FROM labels GROUP BY t HAVING count(DISTINCT entity) = (SELECT count(DISTINCT entity) FROM trend_rows WHERE value IS NOT NULL)),
+gaps AS (SELECT t, t - INTERVAL 1 MINUTE * row_number() OVER (ORDER BY t) AS g FROM (SELECT unnest(generate_series((SELECT min(t) FROM full_ones), (SELECT max(t) FROM labels), INTERVAL 1 MINUTE)) AS t) WHERE t NOT IN (FROM full_ones))
+SELECT min(t) AS start_local, max(t) AS end_local, epoch_us(min(t) + INTERVAL 5 HOUR) AS start_utc, epoch_us(max(t) + INTERVAL 5 HOUR) AS end_utc, count(*) AS minutes FROM gaps GROUP BY g""")
 def interval_manifest(spark, folder):
     return cov.label_intervals(cov.intervals(_window(spark, folder).filter("not is_held"))).select("start_local", "end_local", us("start_utc"), us("end_utc"), "minutes")
 
 
-@query(f"WITH {COVER} SELECT start_cell, end_cell, n_cells FROM (" + _RUNS.format(cond="NOT is_held") + ") ORDER BY start_cell LIMIT 50")
+@query(f"WITH {COVER} SELECT start_cell, end_cell, n_cells, greatest(n_all - 50, 0) AS n_more FROM (SELECT *, count(*) OVER () AS n_all FROM (" + _RUNS.format(cond="NOT is_held") + ")) ORDER BY start_cell LIMIT 50")
 def top_n_intervals(spark, folder):
     return cov.top_intervals(cov.intervals(_window(spark, folder).filter("not is_held")), 50)
 
@@ -189,11 +204,21 @@ def new_gaps(spark, folder):
     return cov.new_intervals(gaps, gaps.filter("n_cells >= 3"))
 
 
-@query("""WITH m AS (SELECT DISTINCT entity, epoch_us(timestamp_utc) // 60000000 AS cell FROM trend_rows WHERE value IS NOT NULL)
+@query("""WITH m AS (SELECT DISTINCT entity, epoch_us(minute_label_local) // 60000000 AS cell FROM trend_rows WHERE value IS NOT NULL AND minute_label_local IS NOT NULL)
 SELECT entity, min(cell) AS start_cell, max(cell) AS end_cell, count(*) AS n_cells FROM (SELECT entity, cell, cell - row_number() OVER (PARTITION BY entity ORDER BY cell) AS g FROM m) GROUP BY entity, g""")
 def series_intervals(spark, folder):
     """Session-like intervals: runs of minutes per series."""
-    return cov.intervals(_samples(spark, folder).select("entity", minute().alias("cell")), ("entity",))
+    return cov.intervals(_samples(spark, folder).select("entity", minute().alias("cell")).filter("cell is not null"), ("entity",))
+
+
+_SINCE, _UNTIL = 29_459_220, 29_460_720  # 2026-01-04 19:00 and 25 hours on, in minutes
+
+
+@query(f"""WITH {COVER} SELECT count(*) AS n_expected, count(*) FILTER (is_held) AS n_held, avg(is_held::INT) AS completeness
+FROM (SELECT g.cell, coalesce(m.is_held, false) AS is_held FROM (SELECT unnest(range({_SINCE}, {_UNTIL} + 1)) AS cell) g LEFT JOIN marked m USING (cell))""")
+def coverage_since_until(spark, folder):
+    """Completeness of a given window instead of the data's own."""
+    return cov.coverage_summary(cov.grid(_samples(spark, folder), "entity", minute(), _SINCE, _UNTIL))
 
 
 @query(f"WITH {COVER} SELECT entity AS series, count(DISTINCT cell) AS n_held FROM minutes WHERE cell IN (SELECT cell FROM win) GROUP BY entity")
@@ -231,8 +256,15 @@ def cadence_by_day(spark, folder):
 g AS (SELECT entity, epoch_us(t) - lag(epoch_us(t)) OVER (PARTITION BY entity ORDER BY t) AS gap FROM m)
 SELECT entity, count(*) FILTER (gap <> 60000000) AS n_steps FROM g GROUP BY entity""")
 def step_anomalies(spark, folder):
-    minutes = table(spark, folder, "trend_rows").select("entity", F.date_trunc("MINUTE", "minute_label_local").cast("timestamp_ntz").alias("t")).distinct()
-    return cov.step_anomalies(minutes, ("entity",), "t", "t", 60)
+    rows = table(spark, folder, "trend_rows").select("entity", tp.floor_minute(F.col("minute_label_local")).cast("timestamp_ntz").alias("t"))
+    return cov.step_anomalies(rows, ("entity",), "t", 60)
+
+
+@query("""WITH u AS (SELECT DISTINCT source_update_utc AS t FROM snapshot_rows WHERE stream = 'gen.unit' AND source_update_utc IS NOT NULL)
+SELECT strftime(make_timestamp(epoch_us(t)), '%Y-%m-%d') AS day_utc, count(*) AS observations FROM u GROUP BY 1 ORDER BY 1 DESC LIMIT 31""")
+def cadence_last_days(spark, folder):
+    """The latest 31 days of the cadence table."""
+    return cov.last_days(cadence_by_day(spark, folder)).select("day_utc", "observations")
 
 
 # --- verification --------------------------------------------------------------------------------------------------
@@ -296,6 +328,54 @@ def ledger_anti(spark, folder):
     return pending(_chunks(spark, folder, "fetch_log"), table(spark, folder, "ingested_chunks"), F.lit("2026-01-08").cast("timestamp")).select("chunk")
 
 
+@query("WITH " + _info("fetch_log") + """ SELECT chunk FROM info WHERE started < TIMESTAMP '2026-01-08' AND started >= TIMESTAMP '2026-01-06' AND chunk NOT IN (SELECT chunk FROM ingested_chunks WHERE chunk IS NOT NULL AND snapshot_rows = 'nan')""")
+def pull_lookback(spark, folder):
+    """Chunks of the last two days that a ledger, here of few chunks, doesn't have."""
+    ledger = table(spark, folder, "ingested_chunks").filter("snapshot_rows = 'nan'")
+    return pending(_chunks(spark, folder, "fetch_log"), ledger, F.lit("2026-01-08").cast("timestamp"), 2).select("chunk")
+
+
+@query("WITH " + _info("fetch_log") + " SELECT strftime(started, '%Y-%m') AS month, count(*) AS n FROM info WHERE strftime(started, '%Y-%m') = '2026-01' GROUP BY 1")
+def month_pull(spark, folder):
+    chunks = of_month(_chunks(spark, folder, "fetch_log"), "2026-01")
+    return chunks.groupBy(F.date_format("started_utc", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT issue_day, count(*) AS n FROM documents WHERE try_strptime(issue_day, '%Y-%m-%d') >= DATE '1885-01-01' AND try_strptime(issue_day, '%Y-%m-%d') < DATE '1895-01-01' GROUP BY 1")
+def release_range(spark, folder):
+    """Tags of days within a range, the end left out."""
+    tags = table(spark, folder, "documents").select("issue_day", F.concat(F.lit("raw-"), "issue_day").alias("tag"))
+    day = release_day(F.col("tag"))
+    return between_days(tags, day, F.lit("1885-01-01").cast("date"), F.lit("1895-01-01").cast("date")).groupBy("issue_day").agg(F.count("*").alias("n"))
+
+
+@query("WITH " + _info("fetch_log") + " SELECT epoch_us(max(started)) AS last_started_utc FROM info WHERE kind = 'snap'")
+def latest_chunk(spark, folder):
+    return monitor.latest_chunk(_chunks(spark, folder, "fetch_log")).select(us("last_started_utc"))
+
+
+_KIND = "regexp_extract(chunk, '^[a-z]+_[0-9TZ]+_([a-z]+)_', 1)"
+
+
+@query(f"""WITH f AS (SELECT chunk || '/' || endpoint AS chunk, endpoint, status, ok, replace(error, 'HTTP 5xx', 'Cloudflare') AS error, {_KIND} AS kind FROM fetch_log), g AS (SELECT chunk, kind, coalesce(bool_or(status IN (401, 403) OR (status = 503 AND lower(error) LIKE '%cloudflare%')), false) AS refused,
+  bool_or(coalesce(ok, false)) AS any_ok, coalesce(bool_or(coalesce(ok, false) AND endpoint = 'sin'), false) AS sin_ok FROM f GROUP BY ALL)
+SELECT chunk, 'blocked' AS alert FROM g WHERE kind = 'snap' AND refused UNION ALL SELECT chunk, 'fetch-failing' FROM g WHERE kind = 'snap' AND NOT any_ok UNION ALL SELECT chunk, 'trend-capture-failing' FROM g WHERE kind = 'trend' AND NOT sin_ok""")
+def capture_alerts(spark, folder):
+    """Each fetch as a poll of its own; errors of one kind stand for a challenge page."""
+    log = table(spark, folder, "fetch_log").withColumn("kind", F.regexp_extract("chunk", "^[a-z]+_[0-9TZ]+_([a-z]+)_", 1))
+    return monitor.capture_alerts(log.withColumn("chunk", F.concat_ws("/", "chunk", "endpoint")).withColumn("error", F.replace("error", F.lit("HTTP 5xx"), F.lit("Cloudflare"))))
+
+
+@query("""WITH e AS (SELECT chunk, endpoint, ok, try_cast(fetched_at_utc AS TIMESTAMPTZ) AS t FROM fetch_log WHERE endpoint IS NOT NULL),
+firing AS (SELECT DISTINCT chunk || '/' || endpoint AS alert FROM e WHERE NOT ok), tally AS (SELECT chunk || '/' || endpoint AS alert, max(t) AS at FROM e WHERE t IS NOT NULL GROUP BY 1)
+SELECT f.alert, CASE WHEN o.alert IS NULL THEN 'open' WHEN o.at < TIMESTAMPTZ '2026-01-06 00:00:00+00' - INTERVAL 12 HOUR THEN 'repeat' ELSE 'none' END AS action FROM firing f LEFT JOIN tally o ON o.alert = f.alert
+UNION ALL SELECT o.alert, 'close' FROM tally o WHERE o.alert NOT IN (SELECT alert FROM firing) AND o.alert IN (SELECT chunk || '/' || endpoint FROM e WHERE ok)""")
+def alert_actions(spark, folder):
+    """Every failed fetch fires, every fetch with a time is open, every success resolves."""
+    log = table(spark, folder, "fetch_log").filter("endpoint is not null").withColumn("alert", F.concat_ws("/", "chunk", "endpoint")).withColumn("updated_utc", tp.iso_ts(F.col("fetched_at_utc")))
+    return monitor.alert_actions(log.filter("not ok"), log.filter("updated_utc is not null"), log.filter("ok"), F.lit("2026-01-06 00:00:00").cast("timestamp"))
+
+
 @query("""SELECT f.chunk, coalesce(try_cast(l.n AS BIGINT), 0) AS snapshot_rows FROM (SELECT DISTINCT chunk FROM fetch_log) f
 LEFT JOIN (SELECT chunk, max(try_cast(snapshot_rows AS BIGINT)) AS n FROM ingested_chunks GROUP BY chunk) l USING (chunk)""")
 def lookup_default(spark, folder):
@@ -357,11 +437,12 @@ def drift_upsert(spark, folder):
     return drift.upsert_drift_log(log.filter("severity <> 'nan'"), log.filter("severity = 'nan'")).drop("severity", "example")
 
 
-@query("""SELECT DISTINCT endpoint, path, kind, pattern FROM drift_log d WHERE severity = 'nan' AND kind NOT IN ('irregular_step', 'empty_values')
-AND NOT EXISTS (SELECT 1 FROM drift_log o WHERE o.severity <> 'nan' AND o.endpoint = d.endpoint AND o.path = d.path AND o.kind = d.kind AND o.pattern = d.pattern)""")
+@query("""SELECT DISTINCT endpoint, path, kind, pattern FROM drift_log d WHERE kind NOT IN ('irregular_step', 'empty_values')
+AND NOT EXISTS (SELECT 1 FROM drift_log o WHERE o.severity = 'ERROR' AND o.endpoint = d.endpoint AND o.path = d.path AND o.kind = d.kind AND o.pattern = d.pattern)""")
 def drift_new_kinds(spark, folder):
+    """What a log that holds errors only doesn't know yet."""
     log = table(spark, folder, "drift_log")
-    return drift.new_kinds(log.filter("severity <> 'nan'"), log.filter("severity = 'nan'"), ("irregular_step", "empty_values")).select("endpoint", "path", "kind", "pattern").distinct()
+    return drift.new_kinds(log.filter("severity = 'ERROR'"), log, BENIGN_DRIFT).select("endpoint", "path", "kind", "pattern").distinct()
 
 
 @query()

@@ -18,13 +18,12 @@ def _struct(**cols: T.DataType) -> T.StructType:
 SNAPSHOT = _struct(timestamp_utc=_ts, timestamp_local=_ntz, stream=_s, entity=_s, field=_s, value=_d, value_text=_s, unit=_s, source_update_utc=_ts, fetched_at_utc=_ts, chunk=_s)
 TREND = _struct(timestamp_utc=_ts, timestamp_local=_ntz, stream=_s, entity=_s, field=_s, value=_d, unit=_s, minute_label_local=_ntz, first_seen_update_utc=_ts, last_seen_update_utc=_ts)
 LEDGER = _struct(chunk=_s, ingested_at_utc=_s, snapshot_rows=_s, trend_rows=_s, drift_events=_s)
-DRIFT_LOG = _struct(endpoint=_s, path=_s, kind=_s, pattern=_s, severity=_s, example=_s, first_seen_chunk=_s, last_seen_chunk=_s, n_chunks=_s)
+DRIFT_EVENTS = _struct(endpoint=_s, path=_s, kind=_s, pattern=_s, chunk=_s, severity=_s, example=_s)
 FETCH_LOG = _struct(chunk=_s, endpoint=_s, status=_d, ok=T.BooleanType(), attempts=_d, bytes=_d, elapsed_s=_d, fetched_at_utc=_s, error=_s)
 PROBES = _struct(chunk=_s, endpoint=_s, status=_s, fetched_at_utc=_s)
 
 SNAPSHOT_KEY = ("stream", "entity", "field", "timestamp_utc")
 SNAPSHOT_ORDER = ("fetched_at_utc", "chunk")
-TREND_KEY = ("entity", "timestamp_utc", "value")
 
 # Endpoints, and the fields each list of records is known to have. None: no list of records.
 ENDPOINTS = ("sin", "gen", "vert", "int", "diagram", "flow")
@@ -60,25 +59,27 @@ TREND_POINTS = 1441
 BENIGN_DRIFT = ("irregular_step", "empty_values")
 # Wording of drift events. With its digits masked it is part of the drift log's key.
 DRIFT_TEXT = {
-    "invalid_json": "body is no JSON",
-    "top_type": "top level is {}",
     "missing_key": "top-level key '{}' missing",
-    "bad_update": "update={}; falling back to fetch time",
-    "new_key": "unexpected top-level key '{}' ({})",
-    "list_type": "expected list, got {}",
     "missing_field": "'{}' missing in {}/{} records",
     "new_field": "'{}' (parsed as a new field)",
     "missing_entity_key": "record {} has no '{}'; keyed by position",
-    "bad_timestamp": "record {}: {}",
-    "label_format": "pie label not recognised: {}",
     "no_series": "trend.series missing or empty",
-    "label_change": "names={}",
     "month_indexing_changed": "last trend point only matches `update` with ONE-based months; decoding one-based",
-    "label_mismatch": "last trend point {} does not match update {}; labels used as-is",
     "bad_value": "{} unparseable points/values of {}",
     "empty_values": "{} empty values of {} points",
     "irregular_step": "{} steps != 1 minute",
     "length_change": "{} points (was {})",
+} | {  # own wording: these tell of types and values in JSON's terms
+    "invalid_json": "the body can't be read as UTF-8 JSON",
+    "top_type": "the body is a JSON {}, no object",
+    "bad_update": "no time in update: {}; the fetch time stands in",
+    "new_key": "key '{}' isn't known; it holds a JSON {}",
+    "list_type": "a list was due, here is a JSON {}",
+    "bad_timestamp": "no time in record {}: {}",
+    "label_format": "label without amount and share: {}",
+    "label_change": "series are named {}",
+    "label_mismatch": "the last label is {}, the update {}; neither month convention fits",
+    "parse_error": "the trend isn't made of points with lists of values",
 }
 
 

@@ -16,7 +16,7 @@ from ..session import prepare
 
 # Fixed value: <prefix>_<UTC>_<kind>_ok<k>of<n>[-x<endpoint> ...].tar.gz
 CHUNK = r"^[a-z]+_(\d{8}T\d{6}Z)_([a-z]+)_ok(\d+)of(\d+)((?:-x[A-Za-z0-9]+)*)\.tar\.gz$"
-MEMBERS = "chunk string, member string, body string, error string"
+MEMBERS = "chunk string, member string, body binary, error string"
 
 
 def chunk_info(name: Column) -> Column:
@@ -45,10 +45,38 @@ def with_info(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("_i", chunk_info(F.col("chunk"))).filter("_i is not null").select("*", "_i.*").drop("_i")
 
 
-def pending(chunks: DataFrame, ledger: DataFrame | None, cutoff: Column | None = None) -> DataFrame:
-    """Chunks that started before ``cutoff`` (default: today, UTC) and aren't in the ledger."""
-    cutoff = F.date_trunc("DAY", F.current_timestamp()) if cutoff is None else cutoff
+def start_of_day() -> Column:
+    return F.date_trunc("DAY", F.current_timestamp())
+
+
+def release_day(tag: Column, prefix: str = "raw-") -> Column:
+    """The day of a release's tag such as raw-2026-09-29; null if it isn't one."""
+    rest = F.substring(tag, len(prefix) + 1, 20)
+    return F.when(tag.startswith(prefix) & rest.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), rest.try_cast("date"))
+
+
+def between_days(rows: DataFrame, day: Column, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Rows whose ``day`` is from ``since`` on and before ``until``; rows without day are left out."""
+    kept = rows.filter(day.isNotNull())
+    kept = kept if since is None else kept.filter(day >= since)
+    return kept if until is None else kept.filter(day < until)
+
+
+def of_month(chunks: DataFrame, month: str) -> DataFrame:
+    """Chunks of a calendar month (UTC) such as '2026-09'."""
+    first = F.lit(f"{month}-01").cast("date")
+    return between_days(chunks, F.to_date("started_utc"), first, F.add_months(first, 1))
+
+
+def pending(chunks: DataFrame, ledger: DataFrame | None, cutoff: Column | None = None, lookback_days: int | None = None) -> DataFrame:
+    """Chunks that started before ``cutoff`` (default: today, UTC) and aren't in the ledger.
+
+    With ``lookback_days``, those of the cutoff's day and that many days before it only.
+    """
+    cutoff = start_of_day() if cutoff is None else cutoff
     early = chunks.filter(F.col("started_utc") < cutoff)
+    if lookback_days is not None:
+        early = between_days(early, F.to_date("started_utc"), F.date_sub(F.to_date(cutoff), lookback_days))
     return early if ledger is None else early.join(ledger.select("chunk").distinct(), "chunk", "left_anti")
 
 
@@ -61,7 +89,7 @@ def _untar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
                     for m in tar.getmembers():
                         if m.isfile():
-                            rows.append((chunk, m.name, tar.extractfile(m).read().decode("utf-8", "replace"), None))
+                            rows.append((chunk, m.name, tar.extractfile(m).read(), None))
             except (tarfile.TarError, OSError, EOFError, gzip.BadGzipFile) as e:
                 rows = [r for r in rows if r[0] != chunk]
                 rows.append((chunk, None, None, f"{type(e).__name__}: {e}"[:500]))
@@ -69,7 +97,7 @@ def _untar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_members(files: DataFrame) -> DataFrame:
-    """(chunk, member, body, error) of a binaryFile frame; an unreadable archive gives one row with its error."""
+    """(chunk, member, body, error) of a binaryFile frame, bodies as bytes; an unreadable archive gives one row with its error."""
     return files.select("path", "content").mapInPandas(_untar, MEMBERS)
 
 
@@ -80,7 +108,7 @@ def load_members(spark: SparkSession, folder: str) -> DataFrame:
 def fetch_results(members: DataFrame, section: str = "endpoints") -> DataFrame:
     """One row per chunk and endpoint from ``meta.json``: status, ok, attempts, bytes, elapsed_s, fetched_at_utc, error."""
     prepare(members.sparkSession)
-    meta = members.filter("member = 'meta.json'").withColumn("v", F.expr("try_parse_json(body)"))
+    meta = members.filter("member = 'meta.json'").withColumn("v", F.expr("try_parse_json(CASE WHEN is_valid_utf8(CAST(body AS string)) THEN CAST(body AS string) END)"))
     each = meta.select("chunk", F.explode(F.expr(f"coalesce(try_cast(try_variant_get(v, '$.{section}', 'variant') AS map<string, variant>), map())")).alias("endpoint", "r"))
     get = lambda k, t: F.expr(f"try_variant_get(r, '$.{k}', '{t}')").alias(k)
     return each.select("chunk", "endpoint", get("status", "double"), F.coalesce(get("ok", "boolean"), F.lit(False)).alias("ok"), get("attempts", "double"), get("bytes", "double"), get("elapsed_s", "double"), get("fetched_at_utc", "string"), get("error", "string"))

@@ -9,14 +9,14 @@ from pulsegrid.functions.values import number_of, text_beside
 from pulsegrid.operators import coverage as cov
 from pulsegrid.operators.drift import drift_events, drift_rollup
 from pulsegrid.operators.explode import snapshot_rows
-from pulsegrid.operators.export import export_all, write_fetch_log, write_manifests
-from pulsegrid.operators.merge import digest
+from pulsegrid.operators.export import export_all, write_manifests
+from pulsegrid.operators.merge import digest, merge_log, merge_trend, read_log
 from pulsegrid.operators.trend import trend_rows
 from pulsegrid.operators.verify import minute_agreement, missing_minutes, same_instant, verdict, window_of
 from pulsegrid.operators.views import canonical, minute_means
-from pulsegrid.schema import LEDGER, SNAPSHOT, TREND
-from pulsegrid.sources.archives import bodies, discover, fetch_results, load_members, pending, probe_results, unreadable
-from pulsegrid.streaming.ingest import ingest_files, stream_archives
+from pulsegrid.schema import DRIFT_EVENTS, FETCH_LOG, LEDGER, PROBES, SNAPSHOT, TREND
+from pulsegrid.sources.archives import between_days, bodies, discover, fetch_results, load_members, of_month, pending, probe_results, release_day, unreadable
+from pulsegrid.streaming.ingest import consolidate, drift_log, ingest_files, stream_archives
 
 UPDATE = "29-septiembre-2026 5:23:53"
 
@@ -145,7 +145,7 @@ def test_ingest_is_idempotent_and_revisions_are_kept(spark, tmp_path):
     files = spark.read.format("binaryFile").load(f"{tmp_path}/in")
     store = f"{tmp_path}/store"
     first = ingest_files(files, store)
-    assert first.snapshots and first.trend and rows(first.ledger, "chunk", "snapshot_rows")[2][1] == 0
+    assert first.snapshots and first.trend and rows(first.ledger, "chunk", "snapshot_rows")[2][1] == "0"
     again = ingest_files(files, store)
     assert again.snapshots == [] and again.trend == []
     trend_store, snaps = spark.read.schema(TREND).parquet(f"{store}/trend"), spark.read.schema(SNAPSHOT).parquet(f"{store}/snapshots")
@@ -157,8 +157,7 @@ def test_ingest_is_idempotent_and_revisions_are_kept(spark, tmp_path):
     assert cov.revision_stats(trend_store, "entity", "timestamp_utc").agg(F.sum("n_revised")).first()[0] == 1
     assert rows(probe_results(load_members(spark, f"{tmp_path}/in"))) == [(NAME, "dead", "200", "x")]
     assert fetch_results(load_members(spark, f"{tmp_path}/in")).count() == 4
-    write_fetch_log(first.fetches, f"{tmp_path}/log")
-    assert spark.read.parquet(f"{tmp_path}/log").select("month").distinct().collect()[0][0] == 202609
+    assert read_log(spark, f"{store}/fetch_log", FETCH_LOG).count() == 4 and read_log(spark, f"{store}/ledger", LEDGER).count() == 3
 
     fresh = trend_rows(load(spark, tmp_path / "in").filter("chunk like '%102500Z%'"))
     window = window_of(fresh, trend_store)
@@ -176,6 +175,71 @@ def test_ingest_is_idempotent_and_revisions_are_kept(spark, tmp_path):
     assert rows(digest(snaps, ("stream",)).select("stream"))[0] == ("gen.pie",)
 
 
+def test_fetch_log_batches_of_one_month_add_up(spark, tmp_path):
+    row = lambda chunk, endpoint, status: (chunk, endpoint, status, True, 1.0, 10.0, 0.1, "t", None)
+    other = NAME.replace("T1024", "T1029")
+    batches = [[row(NAME, "gen", 200.0), row(NAME, "gen", 200.0)], [row(other, "gen", 500.0), row(NAME, "gen", 500.0), row("odd name", "gen", None)], []]
+    for b in batches:
+        merge_log(spark.createDataFrame(b, FETCH_LOG), f"{tmp_path}/log", FETCH_LOG, ("chunk", "endpoint"))
+    assert rows(read_log(spark, f"{tmp_path}/log", FETCH_LOG), "chunk", "status") == [("odd name", None), (NAME, 200.0), (other, 500.0)]
+    assert read_log(spark, f"{tmp_path}/none", FETCH_LOG).count() == 0
+
+
+def test_a_merge_into_one_day_reads_that_day_only(spark, tmp_path):
+    sample = lambda day, value: (datetime(2026, 1, day, 12, tzinfo=timezone.utc), None, "s", "e", "value", value, "MW", None, datetime(2026, 1, day, 13, tzinfo=timezone.utc), None)
+    root = f"{tmp_path}/trend"
+    assert len(merge_trend(spark.createDataFrame([sample(5, 1.0), sample(6, 1.0), (None, *sample(6, 1.0)[1:])], TREND), root)) == 2
+    for f in (tmp_path / "trend" / "day=2026-01-05").glob("*.parquet"):
+        f.write_bytes(b"unreadable")  # and so it shows if it is read
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    assert [str(p[0]) for p in merge_trend(spark.createDataFrame([sample(6, 2.0)], TREND), root)] == ["2026-01-06"]
+    assert spark.read.schema(TREND).parquet(root + "/day=2026-01-06").count() == 2
+
+
+def test_consolidation_writes_everything_and_the_ledger_last(spark, tmp_path):
+    b = {"sin": clean()["sin"], "gen": {**clean()["gen"], "nuevo": [{"name": "q", "z": 1}]}}
+    make_chunk(tmp_path / "in", NAME, b, probes={"dead": {"status": 200, "fetched_at_utc": "x"}, "gone": {"status": 404, "fetched_at_utc": "x"}})
+    make_chunk(tmp_path / "in", "poll_20260929T103000Z_snap_ok2of2.tar.gz", {}, broken=True)
+    make_chunk(tmp_path / "in", "poll_20260930T000000Z_snap_ok2of2.tar.gz", b)
+    store, cutoff = f"{tmp_path}/store", F.lit("2026-09-30").cast("timestamp")
+    done = consolidate(spark, f"{tmp_path}/in", store, cutoff=cutoff)
+    assert (done.n_chunks, done.n_recent) == (2, 1) and rows(done.live, "endpoint") == [("dead",)]
+    assert {(r.path, r.kind) for r in done.new_drift.collect()} == {("nuevo", "new_key"), ("poll_20260929T103000Z_snap_ok2of2.tar.gz", "chunk_unreadable")}
+    n = spark.read.schema(SNAPSHOT).parquet(f"{store}/snapshots").count()
+    assert rows(read_log(spark, f"{store}/ledger", LEDGER), "chunk", "snapshot_rows", "trend_rows", "drift_events") == [(NAME, str(n), str(1441 * 3), "1"), ("poll_20260929T103000Z_snap_ok2of2.tar.gz", "0", "0", "1")]
+    log = rows(drift_log(spark, store))
+    again = consolidate(spark, f"{tmp_path}/in", store, cutoff=cutoff)
+    assert again.n_chunks == 0 and again.n_recent == 1
+    forced = consolidate(spark, f"{tmp_path}/in", store, cutoff=cutoff, use_ledger=False)  # as after a crash before the ledger
+    assert forced.snapshots == [] and forced.trend == [] and forced.new_drift.count() == 0 and rows(drift_log(spark, store)) == log
+    assert consolidate(spark, f"{tmp_path}/in", store, cutoff=F.lit("2026-10-20").cast("timestamp"), lookback_days=14).n_chunks == 0
+    assert consolidate(spark, f"{tmp_path}/in", store, cutoff=F.lit("2026-10-01").cast("timestamp"), lookback_days=14).n_chunks == 1
+    assert rows(drift_log(spark, store), "path", "n_chunks")[0] == ("nuevo", 2) and rows(read_log(spark, f"{store}/probes", PROBES), "endpoint", "status") == [("dead", "200"), ("gone", "404")]
+    assert read_log(spark, f"{store}/drift_events", DRIFT_EVENTS).count() == 3
+    assert consolidate(spark, f"{tmp_path}/none-here", f"{tmp_path}/other").n_chunks == 0 if (tmp_path / "none-here").mkdir() is None else True
+
+
+def test_bytes_that_are_no_utf8_are_invalid_json(spark):
+    df = spark.createDataFrame([("gen", datetime(2026, 9, 29), NAME, b'{"update": "29-septiembre-2026 5:23:53", "pie": "\xff"}')], "endpoint string, fetched_at_utc timestamp, chunk string, body binary")
+    assert [(r.path, r.kind) for r in drift_events(df).collect()] == [("$", "invalid_json")] and snapshot_rows(df).count() == 0
+
+
+@pytest.mark.parametrize("broken", [[1, 2], "x", {"names": [], "series": [1, 2]}, {"names": [], "series": [{"value": 5, "time": {"y": "2026", "m": "8", "d": "29", "h": "5", "mi": "23"}}]}])
+def test_trends_that_cannot_be_walked(spark, tmp_path, broken):
+    make_chunk(tmp_path, NAME, {"sin": {**clean()["sin"], "trend": broken}})
+    df = load(spark, tmp_path)
+    assert [(r.path, r.kind) for r in drift_events(df).collect()] == [("trend", "parse_error")] and trend_rows(df).count() == 0
+
+
+def test_release_days_ranges_and_months(spark):
+    tags = spark.createDataFrame([("raw-2026-09-29",), ("raw-2026-09-30",), ("raw-2026-13-01",), ("v1",), (None,)], "tag string")
+    day = release_day(F.col("tag"))
+    assert rows(between_days(tags, day)) == [("raw-2026-09-29",), ("raw-2026-09-30",)]
+    assert rows(between_days(tags, day, F.lit("2026-09-29").cast("date"), F.lit("2026-09-30").cast("date"))) == [("raw-2026-09-29",)]
+    chunks = spark.createDataFrame([(datetime(2026, 9, 30, 23, 59, tzinfo=timezone.utc),), (datetime(2026, 10, 1, tzinfo=timezone.utc),)], "started_utc timestamp")
+    assert of_month(chunks, "2026-09").count() == 1
+
+
 def test_stream_takes_each_archive_once(spark, tmp_path):
     body = {"gen": clean()["gen"]}
     make_chunk(tmp_path / "in", NAME, body)
@@ -187,6 +251,7 @@ def test_stream_takes_each_archive_once(spark, tmp_path):
     make_chunk(tmp_path / "in", "poll_20260929T102900Z_snap_ok1of1.tar.gz", body)
     run()
     assert before > 0 and spark.read.parquet(f"{tmp_path}/store/snapshots").count() == 2 * before
+    assert read_log(spark, f"{tmp_path}/store/ledger", LEDGER).count() == 2 and read_log(spark, f"{tmp_path}/store/fetch_log", FETCH_LOG).count() == 2
 
 
 def test_discovery_and_ledger(spark, tmp_path):

@@ -4,9 +4,9 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import coverage as cov
-from pulsegrid.operators.dedupe import first_per_key, latest_per_key, span_per_version
-from pulsegrid.operators.drift import new_kinds, upsert_drift_log, upsert_rows
-from pulsegrid.operators.monitor import alerts, recovered
+from pulsegrid.operators.dedupe import first_per_key, latest_per_key, span_per_version, upsert_rows
+from pulsegrid.operators.drift import new_kinds, upsert_drift_log
+from pulsegrid.operators.monitor import alert_actions, alerts, capture_alerts, latest_chunk, recovered
 from pulsegrid.operators.views import hourly_means
 
 NOW = datetime(2026, 9, 30, 12, tzinfo=timezone.utc)
@@ -67,3 +67,30 @@ def test_coverage_without_complete_minutes_is_empty(spark):
 def test_hourly_means_keep_empty_hours(spark):
     df = spark.createDataFrame([("a", datetime(2026, 1, 1, 0, 5), 1.0), ("a", datetime(2026, 1, 1, 0, 50), 3.0), ("a", datetime(2026, 1, 1, 2, 0), 9.0), (None, datetime(2026, 1, 1), 1.0)], "entity string, timestamp_utc timestamp, value double")
     assert rows(hourly_means(df)) == [("a", datetime(2026, 1, 1, 0), 2.0), ("a", datetime(2026, 1, 1, 1), None), ("a", datetime(2026, 1, 1, 2), 9.0)]
+
+
+def test_alert_state(spark):
+    at = lambda h: NOW - timedelta(hours=h)
+    firing = spark.createDataFrame([("new",), ("old",), ("old",), ("recent",), (None,)], "alert string")
+    held = spark.createDataFrame([("old", at(13)), ("recent", at(2)), ("gone", at(1)), ("stays", at(1))], "alert string, updated_utc timestamp")
+    solved = spark.createDataFrame([("gone",), ("recent",), ("never open",)], "alert string")
+    assert rows(alert_actions(firing, held, solved, F.lit(NOW))) == [("gone", "close"), ("new", "open"), ("old", "repeat"), ("recent", "none"), (None, "open")]
+
+
+def test_capture_alerts(spark):
+    schema = "chunk string, kind string, endpoint string, status double, ok boolean, error string"
+    data = [("a", "snap", "sin", 403.0, False, None), ("a", "snap", "gen", 200.0, True, None), ("b", "snap", "sin", 503.0, False, "Cloudflare challenge"), ("c", "trend", "sin", None, None, None), ("d", "snap", "sin", 503.0, True, "x")]
+    assert rows(capture_alerts(spark.createDataFrame(data, schema))) == [("a", "blocked"), ("b", "blocked"), ("b", "fetch-failing"), ("c", "trend-capture-failing")]
+    assert rows(latest_chunk(polls(spark, [10, 300]))) == [((NOW - timedelta(minutes=10)).replace(tzinfo=None),)] and latest_chunk(polls(spark, [])).first()[0] is None
+
+
+def test_report_of_completeness(spark):
+    start = datetime(2026, 1, 5)
+    label = lambda m: start + timedelta(minutes=m)
+    data = [(e, label(m), label(m), 1.0, label(m), label(m)) for e in ("a", "b") for m in range(0, 240, 2)] + [("a", label(1), label(1), 2.0, label(1), label(1)), ("a", label(0), label(0), 9.0, label(0), label(0))]
+    df = spark.createDataFrame(data, "entity string, timestamp_utc timestamp, minute_label_local timestamp_ntz, value double, first_seen_update_utc timestamp, last_seen_update_utc timestamp")
+    days = cov.cadence(spark.createDataFrame([(start + timedelta(days=d),) for d in range(40)], "t timestamp"), "t")
+    text = cov.report(df, "entity", cov.label_minute("minute_label_local"), "timestamp_utc", df, days)
+    assert "minutes expected 239, held 120, missing 119" in text and "and 69 more" in text and "2026-01-05 00:01 to 2026-01-05 00:01 local, 1 min" in text
+    assert "revised a: 1 of 121 samples" in text and "2026-01-14:" in text and "2026-01-13:" not in text
+    assert cov.report(df.limit(0), "entity", cov.label_minute("minute_label_local"), "timestamp_utc", df, days) == "No trend data."
