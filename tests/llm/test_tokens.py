@@ -27,15 +27,15 @@ def texts():
 def test_ids_equal_direct_encoding(spark, encoder):
     rows = [(i, t, "clash") for i, t in enumerate(texts())] + [(None, "null id", "x"), (3, "\n", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
-    for chunk, overlap in ((64, 16), (256, 32), (16_384, 512)):
-        got = sorted((r.doc_id if r.doc_id is not None else -1, tuple(r.ids)) for r in encode_corpus(docs, chunk=chunk, overlap=overlap).collect())
+    for chunk, overlap, spread in ((64, 16, 1), (64, 16, 10_000), (16, 4, 0), (256, 32, 4), (tokens.CHUNK, tokens.OVERLAP, tokens.SPREAD)):
+        got = sorted((r.doc_id if r.doc_id is not None else -1, tuple(r.ids)) for r in encode_corpus(docs, chunk=chunk, overlap=overlap, spread=spread).collect())
         expected = sorted((i if i is not None else -1, tuple(encoder.encode_ordinary(t) if t else [])) for i, t, _ in rows)
         assert got == expected
 
 
 def test_round_trip(spark):
     docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
-    back = decode_ids(encode_corpus(docs, chunk=128, overlap=32)).join(docs.withColumnRenamed("text", "t"), "doc_id")
+    back = decode_ids(encode_corpus(docs, chunk=128, overlap=32, spread=3)).join(docs.withColumnRenamed("text", "t"), "doc_id")
     assert back.filter(F.col("text") != F.coalesce("t", F.lit(""))).count() == 0 and back.count() == len(texts())
 
 
@@ -49,3 +49,16 @@ def test_empty_table(spark):
     assert encode_corpus(spark.createDataFrame([], "doc_id string, text string")).count() == 0
     with pytest.raises(ValueError):
         encode_corpus(spark.createDataFrame([], "doc_id string, text string"), chunk=10, overlap=5)
+
+
+def test_pieces_are_stitched_and_never_the_whole_text(encoder):
+    r = random.Random(8)
+    for _ in range(300):
+        text = "".join(r.choice(["word", "señor", " ", "  ", "\n", "12", ",", "'s", "x" * 40, " " * 40, "-" * 30, "猫"]) for _ in range(r.randrange(400)))
+        pieces = tokens._in_place(text, 64, 16)
+        assert "".join(pieces) == text and [i for p in pieces for i in encoder.encode_ordinary(p)] == encoder.encode_ordinary(text)
+    plain = "the harbour council repaired a steamer. " * 200
+    pieces = tokens._in_place(plain, 256, 32)
+    assert len(pieces) == tokens.n_chunks(len(plain), 256) and max(map(len, pieces)) <= 256 + 64
+    broken = plain + "z" * 700 + plain  # one word without stitch joins its own chunks only
+    assert max(map(len, tokens._in_place(broken, 256, 32))) <= 700 + 3 * 256
