@@ -3,7 +3,7 @@
 Method: cost-balanced packing. A document costs ``linear * n + quadratic * n ** 2`` (attention); documents go in
 descending order to the sequence of the lowest cost that still has room. The number of sequences is the least that could
 hold all tokens, so some documents, small ones, find no room while a few tokens are free in each sequence. Exchanges of
-documents of nearly equal size gather that room (``gather_room``); what is left over then is dealt to further sequences.
+documents of nearly equal size gather that room (``gather_room``); what is left over then is packed by best fit.
 
 Scale: documents are dealt by hash to shards of about ``shard_docs``; a shard and capacity is one task's work on sizes
 alone, and wastes at most its last container.
@@ -102,19 +102,44 @@ def gather_room(items: list[list[int]], left: list[int], sizes: list[int], capac
     return left, moved
 
 
-def pack_sizes(sizes: list[int], capacity: int, *, linear: float = 1.0, quadratic: float = 1 / 4096) -> tuple[list[list[int]], set[int]]:
-    """Containers of item numbers for descending sizes within the capacity, and the items that the repair moved."""
+def best_fit(items: list[int], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Items (by descending size) into the fullest new container with room, else into another one."""
+    out: list[list[int]] = []
+    room: list[tuple[int, int]] = []
+    for item in items:
+        at = bisect.bisect_left(room, (sizes[item], -1))
+        if at < len(room):
+            free, c = room.pop(at)
+        else:
+            free, c = capacity, len(out)
+            out.append([])
+        out[c].append(item)
+        if free > sizes[item]:
+            bisect.insort(room, (free - sizes[item], c))
+    return out
+
+
+def pack_sizes(sizes: list[int], capacity: int, *, linear: float = 1.0, quadratic: float = 1 / 4096, excess: float = 0.004) -> tuple[list[list[int]], set[int]]:
+    """Containers of item numbers for descending sizes within the capacity, and the items that the repair moved.
+
+    What no exchange makes room for is packed by best fit; while that takes more than ``excess`` over the least number of
+    containers, a growing share of the sequences is packed anew with it. It happens where most documents are larger than
+    half a container, so that the cheapest sequence is rarely one that a document fills.
+    """
     if not sizes:
         return [], set()
     least = max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
     dealt, left = lowest_cost(sizes, capacity, least, linear, quadratic)
     left, moved = gather_room(dealt, left, sizes, capacity)
-    while left:  # what still has no room is dealt in the same way to as few further sequences as can hold it
-        more, rest = lowest_cost([sizes[i] for i in left], capacity, -(-sum(sizes[i] for i in left) // capacity), linear, quadratic)
-        dealt += [[left[i] for i in c] for c in more]
-        moved |= set(left)
-        left = [left[i] for i in rest]
-    return [c for c in dealt if c], moved
+    # open sequences first, then those of many items, whose room can be shared out anew
+    order = sorted((c for c in dealt if c), key=lambda c: (sum(sizes[i] for i in c) == capacity, -len(c), c))
+    for share in (0.0, 0.25, 0.5, 1.0):
+        n = round(share * len(order))
+        again = sorted(left + [i for c in order[:n] for i in c])
+        packed = order[n:] + best_fit(again, sizes, capacity)
+        if len(packed) <= least * (1 + excess):
+            break
+    return packed, moved | set(again)
 
 
 def pack_documents(sizes: DataFrame, capacities: DataFrame, *, doc_id: str = "doc_id", n_tokens: str = "n_tokens", shard_docs: int = 50_000, linear: float = 1.0, quadratic: float = 1 / 4096) -> DataFrame:

@@ -83,7 +83,8 @@ def mark(piece: str, k: int, n: int, chunk: int, overlap: int) -> tuple[list[int
     """
     at, _ = chunk_span(k, n, chunk, overlap)
     found = boundaries(piece)
-    sure = found[: len(found) - EDGE]
+    # a piece must not end in white space: how that is split depends on what follows it
+    sure = [b for b in found[: len(found) - EDGE] if b and not piece[b - 1].isspace()]
     left = [at + b for b in sure if at + b < k * chunk + overlap] if k else [0]
     first = _patterns()[1].search(piece)
     known = 0 if not k else (first.start() + 1 if first else len(piece))

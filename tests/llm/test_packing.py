@@ -22,8 +22,8 @@ def test_little_space_is_left():
     sizes = sorted((min(512, max(1, int(r.lognormvariate(5.3, 0.7)))) for _ in range(4000)), reverse=True)
     for capacity in (512, 2048):
         packed, moved = pack_sizes(sizes, capacity)
-        assert len(packed) <= 1.005 * max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes)) + 1
-        assert len(moved) < 0.5 * len(sizes)
+        assert len(packed) <= 1.004 * max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes)) + 1
+        assert capacity == 512 or len(moved) < 0.3 * len(sizes)  # at 512 most sequences hold one large document
 
 
 def test_documents(spark):
