@@ -86,7 +86,7 @@ def p5_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "snapshot_rows")
-    index = DeliveryIndex(spark, work_path(spark, "deliveries"), merge_every=1)
+    index = DeliveryIndex(spark, work_path(spark, "deliveries"))
     for batch in arrival_batches(rows, BATCHES):
         index.admit(batch)
     return index.dropped()

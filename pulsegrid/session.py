@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT = "spark.checkpoint.dir"
 _OWN: list[str] = []  # the folder that local mode falls back to
+_WORK: list[tuple[SparkSession, str]] = []  # folders of intermediate results, dropped when the driver's process ends
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,9 +67,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a compressed table: for results that are as large as the input, or read by columns."""
+    path = work_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the shared folder; what is written there lasts as long as the driver's process."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _WORK:
+        atexit.register(_drop_work)
+    _WORK.append((spark, path))
+    return path
+
+
+def _drop_work() -> None:
+    for spark, path in _WORK:
+        if spark.sparkContext._jsc is not None:
+            drop_path(spark, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
