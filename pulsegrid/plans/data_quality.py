@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.exactly_once import DeliveryIndex, arrival_batches
 from ..operators.history import version_history
-from ..operators.regrid import on_grid, uncovered_cells
+from ..operators.regrid import counter_on_grid, on_grid, uncovered_cells
 from ..operators.schema_drift import change_log, consistent_table, shape_changes, type_statistics
 from ..operators.snapdiff import changes_by_delivery, snapshot_changes
 from ..operators.spikes import flag_implausible
@@ -60,6 +60,12 @@ def p3_grid(spark: SparkSession, folder: str) -> DataFrame:
     return grid.select("entity", F.timestamp_seconds(F.col("cell") * 60).cast("timestamp_ntz").alias("minute_label_local"), "value", "n_samples", "is_missing")
 
 
+def p3_counter(spark: SparkSession, folder: str) -> DataFrame:
+    """The series read as meters: what each adds per five minutes. Levels that fall count as resets."""
+    grid = counter_on_grid(table(spark, folder, "trend_rows"), ("entity",), "timestamp_utc", "value", width_ms=300_000, max_gap_ms=900_000)
+    return grid.select("entity", "cell", F.round("value", 3).alias("value"), "covered_ms", "is_missing")
+
+
 def p4_history(spark: SparkSession, folder: str) -> DataFrame:
     return version_history(table(spark, folder, "trend_rows").withColumn("ts_ms", F.unix_millis("timestamp_utc")), ("entity", "ts_ms"))
 
@@ -92,7 +98,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return index.dropped()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_flags, p2_found, p2_changes, p2_by_delivery, p3_found, p3_grid, p4_found, p4_history, p5_found, p5_table, p5_types, p5_log, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_flags, p2_found, p2_changes, p2_by_delivery, p3_found, p3_grid, p3_counter, p4_found, p4_history, p5_found, p5_table, p5_types, p5_log, p6_found)}
 
 _P2 = """
 WITH kept AS (
@@ -140,6 +146,26 @@ SELECT e.entity, make_timestamp(e.cell * 60000000) AS minute_label_local, h.valu
 FROM edges e LEFT JOIN held h USING (entity, cell)""",
     "p4_found": _P4 + "SELECT entity, ts_ms, from_ms, to_ms FROM versions WHERE n_versions >= 2",
     "p4_history": _P4 + "SELECT entity, ts_ms, version::INTEGER AS version, n_versions::INTEGER AS n_versions, value, from_ms, to_ms FROM versions",
+    "p5_types": """
+WITH b AS (SELECT DISTINCT endpoint, chunk, fetched_at_utc, body, ltrim(body, chr(65279)) AS text FROM raw_bodies WHERE body IS NOT NULL AND fetched_at_utc IS NOT NULL),
+j AS (SELECT *, text::JSON AS js FROM (SELECT * FROM b WHERE json_valid(text)) WHERE json_type(text) = 'OBJECT'),
+k AS (SELECT * FROM (SELECT *, unnest(json_keys(js)) AS key FROM j) WHERE key <> 'update'),
+v AS (SELECT *, json_extract(js, '$."' || key || '"') AS val FROM k),
+r AS (SELECT *, unnest(CASE json_type(val) WHEN 'ARRAY' THEN json_extract(val, '$[*]') WHEN 'OBJECT' THEN [val] ELSE [json_object('value', val)] END) AS rec FROM v),
+f AS (SELECT endpoint, chunk, fetched_at_utc, body, key AS path, field, json_extract(rec, '$."' || field || '"') AS x FROM (SELECT *, unnest(json_keys(rec)) AS field FROM r WHERE json_type(rec) = 'OBJECT')),
+g AS (SELECT endpoint, chunk, fetched_at_utc, body, path || '.' || field AS path, x, unnest(json_keys(x)) AS field FROM f WHERE json_type(x) = 'OBJECT'),
+cells AS (SELECT endpoint, chunk, fetched_at_utc, body, path, field, json_type(x) AS t FROM f WHERE json_type(x) <> 'OBJECT' UNION ALL SELECT endpoint, chunk, fetched_at_utc, body, path, field, json_type(json_extract(x, '$."' || field || '"')) FROM g)
+SELECT endpoint, chunk, path, field, count(*) AS n_records, count(*) FILTER (t = 'NULL') AS n_null, count(*) FILTER (t = 'VARCHAR') AS n_string, count(*) FILTER (t IN ('DOUBLE', 'BIGINT', 'UBIGINT', 'HUGEINT', 'UHUGEINT')) AS n_number
+FROM cells GROUP BY endpoint, chunk, fetched_at_utc, body, path, field""",
+    "p3_counter": """
+WITH flat AS (SELECT entity, epoch_us(timestamp_utc) // 1000 AS t, max(value) AS v FROM trend_rows WHERE value IS NOT NULL AND NOT isnan(value) AND timestamp_utc IS NOT NULL GROUP BY ALL),
+steps AS (SELECT entity, lag(t) OVER w AS a, t AS b, v, lag(v) OVER w AS pv FROM flat WINDOW w AS (PARTITION BY entity ORDER BY t)),
+inc AS (SELECT entity, a, b, CASE WHEN b - a <= 900000 THEN CASE WHEN v < pv THEN v ELSE v - pv END END AS inc FROM steps WHERE a IS NOT NULL),
+parts AS (SELECT *, unnest(range(a // 300000, (b - 1) // 300000 + 1)) AS cell FROM inc WHERE inc IS NOT NULL),
+shares AS (SELECT entity, cell, inc * (least(b, (cell + 1) * 300000) - greatest(a, cell * 300000)) / (b - a) AS value, least(b, (cell + 1) * 300000) - greatest(a, cell * 300000) AS ms FROM parts),
+held AS (SELECT entity, cell, sum(value) AS value, sum(ms) AS covered_ms FROM shares GROUP BY ALL),
+grid AS (SELECT entity, unnest(range(min(a) // 300000, (max(b) - 1) // 300000 + 1)) AS cell FROM inc GROUP BY entity)
+SELECT g.entity, g.cell, round(h.value, 3) AS value, coalesce(h.covered_ms, 0)::BIGINT AS covered_ms, h.cell IS NULL AS is_missing FROM grid g LEFT JOIN held h ON g.entity = h.entity AND g.cell = h.cell""",
     "p6_found": """SELECT row_id FROM snapshot_rows WHERE timestamp_utc IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY stream, entity, field, epoch_us(timestamp_utc) // 1000 ORDER BY fetched_at_utc NULLS LAST, chunk NULLS LAST, row_id) > 1""",
 }
