@@ -91,7 +91,64 @@ def test_running_median_and_ellipsoid():
     assert spikes.running_median(x)[5] == np.median(x[:11])
     u = np.random.RandomState(0).normal(0, 1, 500)
     u[250] = 30
-    bad = spikes.outside_ellipsoids(u, u, np.ones(500, bool), 0.01)
-    assert bad[250] and bad.mean() < 0.1
-    assert spikes.resolution(np.array([1.5, 2.5, 3.1])) == 0.1 and spikes.resolution(np.array([1.0, 2.0])) == 1.0
-    assert spikes.quiet_runs(np.array([1.0, 1.01, 1.0, 5.0, 5.0]), 0.01) == [(0, 3), (3, 5)]
+    d1 = spikes._half_differences(u)
+    scales = [1.4826 * np.median(np.abs(x)) * np.sqrt(2 * np.log(500)) for x in (u, d1, spikes._half_differences(d1))]
+    for angle in (0.0, -0.3):
+        bad = spikes.outside_ellipsoids(u, tuple(scales), angle, 0.01)
+        assert bad[250] and bad.mean() < 0.1
+
+
+def test_flat_stretches():
+    v = np.array([1.0, 5.0, 5.01, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0, 5.01, 9.0] + [0.0] * 9)
+    assert np.flatnonzero(spikes.flat_links(v, 0.01)).tolist() == list(range(2, 10))
+    assert np.flatnonzero(spikes.flat_links(v, 0.0)).tolist() == [] and not spikes.flat_links(v[:3], 1.0).any()
+
+
+def test_resolution_and_histograms(spark):
+    kept = spark.createDataFrame([(k, v) for k, vs in ((1, [1.5, 2.5, 3.1]), (2, [1.0, 2.0, 0.0]), (3, [1 / 3, 2 / 3]), (4, [0.0, 0.0])) for v in vs], "src long, v double")
+    assert {r.src: (r.step, r.all_active) for r in spikes._basics(kept).collect()} == {1: (0.1, True), 2: (1.0, False), 3: (0.0, True), 4: (0.0, False)}
+    x = np.abs(np.random.RandomState(1).lognormal(0, 2, 999))
+    parts = [h for p in np.array_split(x, 7) for h in spikes._histogram(5, "s0", p)]
+    stats = spark.createDataFrame(parts, spikes.STAT_DDL).groupBy("src", "kind", "bin").sum("n").withColumnRenamed("sum(n)", "n")
+    whole = spark.createDataFrame(spikes._histogram(5, "s0", x), spikes.STAT_DDL)
+    assert {tuple(r) for r in stats.collect()} == {(r.src, r.kind, r.bin, r.n) for r in whole.collect()}
+    assert abs(spikes._quantile(whole, "s0", 0.5).first().s0 / np.median(x) - 1) < 0.05
+
+
+def test_runs_across_blocks(spark):
+    v = noisy(700, seed=11)
+    for a, n in ((60, 20), (250, 190), (511, 30), (640, 4)):
+        v[a : a + n] = [v[a]] * n
+    expected = set(range(61, 80)) | set(range(251, 440)) | set(range(512, 541))
+    for block in (32, 64, 100, 4096):
+        found = flagged(spark, series("a", v), block_rows=block)
+        assert {i for (_, i), r in found.items() if r == "stuck"} == expected
+
+
+def test_the_cuts_do_not_matter_on_real_tables(spark, data):
+    rows = spark.read.parquet(f"{data}/snapshot_rows.parquet")
+    first, *others = [{tuple(r) for r in flag_implausible(rows, block_rows=b).collect()} for b in (64, 256, 4096)]
+    assert first and all(o == first for o in others)
+
+
+def test_planted_faults_of_many_kinds_of_sources(spark):
+    """Faults planted in made-up sources that no threshold was set on: another noise, level, rate and course."""
+    r = np.random.RandomState(77)
+    rows, expected = [], set()
+    for k in range(8):
+        n, level, noise = 1500, 10.0 ** r.randint(0, 4), 10.0 ** r.uniform(-2, 0)
+        v = level * (5 + np.sin(np.arange(n) / r.uniform(50, 200)) + 0.01 * noise * r.standard_t(6, n).cumsum() * 0.1 + 0.02 * r.standard_normal(n))
+        v = np.round(v, 3)
+        for at in r.choice(np.arange(20, n - 60, 40), 12, replace=False):
+            kind = r.randint(3)
+            if kind == 0:
+                v[at : at + r.randint(1, 4)] += level * r.choice([-1, 1]) * r.uniform(1.5, 3)
+            elif kind == 1:
+                v[at] = -v[at]
+            else:
+                v[at] = level * 500
+        expected |= {(f"e{k}", int(i)) for i in np.flatnonzero((v < 0) | (v > level * 100))}
+        rows += series(f"e{k}", v.tolist(), first_id=k * 10_000)
+    found = flagged(spark, rows)
+    sure = {x for x in found if x in expected}
+    assert len(sure) >= 0.99 * len(expected) and len(found) < 12 * 8 * 4
