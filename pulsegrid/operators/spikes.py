@@ -345,7 +345,7 @@ def flag_implausible(
     """
     slim = rows.select(key_hash(*source).alias("src"), *[F.col(c).alias(f"s_{i}") for i, c in enumerate(source)], epoch_ms(instant).alias("ms"), F.col(value).cast("double").alias("v"), *[F.col(c).alias(f"o_{i}") for i, c in enumerate(order)])
     slim = slim.filter("ms is not null").withColumn("hour", F.floor(F.col("ms") / hour_ms).cast("long"))
-    names = slim.groupBy("src").agg(*[F.first(f"s_{i}").alias(c) for i, c in enumerate(source)])
+    names = slim.select("src", *[F.col(f"s_{i}").alias(c) for i, c in enumerate(source)]).distinct()  # one row per source: hashed without sorting
     best = slim.groupBy("src", "hour", "ms").agg(F.min_by("v", F.struct(*[f"o_{i}" for i in range(len(order))])).alias("v"))
     kept = store(best.filter("v is not null and not isnan(v) and abs(v) < 1e300"))
     counts = kept.groupBy("src", "hour").agg(F.count("*").alias("n"))
