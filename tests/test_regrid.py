@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 from helpers import rows
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.ordering import with_previous
+from pulsegrid.operators.ordering import every_cell, exact_quantiles, with_previous
 from pulsegrid.operators.regrid import counter_on_grid, on_grid, uncovered_cells
 
 T0 = datetime(2026, 1, 5, tzinfo=timezone.utc)
@@ -56,3 +56,21 @@ def test_previous_across_blocks(spark):
         own = [d for d in data if d[0] == k]
         expected |= {(k, b[1]): a[2] for a, b in zip(own, own[1:])} | {(k, own[0][1]): None}
     assert {(x.k, x.i): x.before for x in out.collect()} == expected
+
+
+def test_exact_quantiles(spark):
+    r = random.Random(6)
+    data = [(k, r.choice([0.0, -2.5, 1e-9, r.lognormvariate(0, 3), -r.random()])) for k in ("a", None) for _ in range(300)] + [("one", 7.0), ("a", None), ("a", float("nan")), ("none", None)]
+    got = {x.k: (x.m, x.p) for x in exact_quantiles(spark.createDataFrame(data, "k string, v double"), ("k",), "v", {"m": 0.5, "p": 0.99}).collect()}
+
+    def plain(k, q):
+        own = sorted(v for x, v in data if x == k and v is not None and v == v)
+        at = (len(own) - 1) * q
+        return own[int(at)] + (own[min(int(at) + 1, len(own) - 1)] - own[int(at)]) * (at - int(at))
+
+    assert got.keys() == {"a", None, "one"} and all(abs(g - plain(k, q)) < 1e-12 for k, pair in got.items() for g, q in zip(pair, (0.5, 0.99)))
+
+
+def test_every_cell(spark):
+    bounds = spark.createDataFrame([("a", -3, 9), (None, 5, 5), ("none", 4, 3)], "k string, lo long, hi long")
+    assert rows(every_cell(bounds, ("k",), "lo", "hi", span=4)) == [*(("a", c) for c in range(-3, 10)), (None, 5)]
