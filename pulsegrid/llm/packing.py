@@ -122,8 +122,8 @@ def best_fit(items: list[int], sizes: list[int], capacity: int) -> list[list[int
 def pack_sizes(sizes: list[int], capacity: int, *, linear: float = 1.0, quadratic: float = 1 / 4096, excess: float = 0.004) -> tuple[list[list[int]], set[int]]:
     """Containers of item numbers for descending sizes within the capacity, and the items that the repair moved.
 
-    What no exchange makes room for is packed by best fit; while that takes more than ``excess`` over the least number of
-    containers, a growing share of the sequences is packed anew with it. It happens where most documents are larger than
+    What no exchange makes room for is packed by best fit; while that takes more than ``excess`` (and one container)
+    over the least number of containers, a growing share of the sequences is packed anew with it. It happens where most documents are larger than
     half a container, so that the cheapest sequence is rarely one that a document fills.
     """
     if not sizes:
@@ -137,7 +137,7 @@ def pack_sizes(sizes: list[int], capacity: int, *, linear: float = 1.0, quadrati
         n = round(share * len(order))
         again = sorted(left + [i for c in order[:n] for i in c])
         packed = order[n:] + best_fit(again, sizes, capacity)
-        if len(packed) <= least * (1 + excess):
+        if len(packed) <= least * (1 + excess) + 1:
             break
     return packed, moved | set(again)
 
