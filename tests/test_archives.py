@@ -16,7 +16,7 @@ from pulsegrid.operators.verify import minute_agreement, missing_minutes, same_i
 from pulsegrid.operators.views import canonical, minute_means
 from pulsegrid.schema import DRIFT_EVENTS, FETCH_LOG, LEDGER, PROBES, SNAPSHOT, TREND
 from pulsegrid.sources.archives import between_days, bodies, discover, fetch_results, load_members, of_month, pending, probe_results, release_day, unreadable
-from pulsegrid.streaming.ingest import consolidate, drift_log, ingest_files, stream_archives
+from pulsegrid.streaming.ingest import consolidate, drift_log, hourly_stream, ingest_files, observed_versions, stream_archives
 
 UPDATE = "29-septiembre-2026 5:23:53"
 
@@ -275,3 +275,17 @@ def test_scalar_functions(spark):
     at = spark.createDataFrame([(datetime(2026, 9, 29, 5, 0, tzinfo=timezone.utc), "20260929T050000Z", "x")], "u timestamp, c string, b string")
     r = at.select(tp.utc_to_local(F.col("u")).alias("l"), tp.local_to_utc(tp.utc_to_local(F.col("u"))).alias("u"), tp.parse_compact(F.col("c")).alias("c"), tp.parse_compact(F.col("b")).alias("b"), tp.scada_ts(F.lit("2026-01-02")).alias("s")).first()
     assert r.l == datetime(2026, 9, 29, 0, 0) and r.u == r.c == datetime(2026, 9, 29, 5, 0) and r.b is None and r.s is None
+
+
+def test_streaming_views_equal_batch_ones(spark, tmp_path):
+    at = lambda m: datetime(2026, 1, 5, tzinfo=timezone.utc).replace(hour=m // 60, minute=m % 60)
+    data = [("e", at(m), float(v), at(m + k), at(m + k + 1)) for m in range(0, 200, 20) for k, v in enumerate((1, 1, 2))]
+    df = spark.createDataFrame(data, "entity string, timestamp_utc timestamp, value double, first_seen_update_utc timestamp, last_seen_update_utc timestamp")
+    df.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    results = {}
+    for name, view in (("versions", observed_versions(stream())), ("hours", hourly_stream(stream(), "timestamp_utc", "value"))):
+        view.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{tmp_path}/cp-{name}").trigger(availableNow=True).start().awaitTermination()
+        results[name] = rows(spark.table(name))
+    assert results["versions"] == rows(df.groupBy("entity", "timestamp_utc", "value").agg(F.min("first_seen_update_utc"), F.max("last_seen_update_utc")))
+    assert results["hours"] == rows(df.groupBy(F.date_trunc("HOUR", "timestamp_utc")).agg(F.avg("value"), F.count("*")))
